@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 
 from notewright.schemas import LANDING, LANDING_TEXT
@@ -16,9 +18,11 @@ def append_landing(rows: DataFrame, path: str, rows_per_file: int = 0) -> None:
      .option("maxRecordsPerFile", rows_per_file).parquet(path))
 
 
-def read_landing(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+def read_landing(spark: SparkSession, *paths: str, run_id: str | None = None) -> DataFrame:
     """All landed rows, or one run's; the run id prunes folders, other runs are not read."""
-    landed = spark.read.schema(LANDING).parquet(path).select(*LANDING.fieldNames())
+    columns = LANDING.fieldNames()
+    tables = [spark.read.schema(LANDING).parquet(path).select(*columns) for path in paths]
+    landed = reduce(DataFrame.unionByName, tables)
     return landed if run_id is None else landed.where(landed["run_id"] == run_id)
 
 
