@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from notewright import fixed_values as fv
+from notewright.functions.once import once
 from notewright.functions.ratios import ratio
 from notewright.functions.text import folded, may_match, quote_replacement, spark_regex
 
@@ -68,8 +69,9 @@ def redact(
         })
     counts = [f"_rule_{i}" for i in range(len(rules))]
     return notes.withColumns({
-        "rule_redactions": F.array(*counts).cast("array<int>"),
-        "redactions": sum((F.col(c) for c in counts), F.lit(0)),
+        text: once(column),
+        "rule_redactions": once(F.array(*counts).cast("array<int>")),
+        "redactions": once(sum((F.col(c) for c in counts), F.lit(0))),
     }).drop("_plain", "_marked", "_counted", *counts)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notewright import fixed_values as fv
+from notewright.functions.once import once
 from notewright.functions.text import (
     folded, may_match, null_if_empty, spark_regex, without_nulls,
 )
@@ -89,9 +90,9 @@ def rule_facts(notes: DataFrame, rules: ExtractionRules = DEFAULT_RULES) -> Data
         raw[f"_marker_{i}"] = first_group(re.escape(name) + rules.biomarker_status, True, name)
     extracted = read.select(
         "note_id",
-        classify(F.col("_lowered"), rules.keyword_groups).alias("_class"),
-        listed_terms(F.col("_lowered"), rules.medications).alias("medications"),
-        *[column.alias(name) for name, column in raw.items()],
+        once(classify(F.col("_lowered"), rules.keyword_groups)).alias("_class"),
+        once(listed_terms(F.col("_lowered"), rules.medications)).alias("medications"),
+        *[once(column).alias(name) for name, column in raw.items()],
     )
     markers = without_nulls(F.array(*[
         # a status of dots alone is still a hit, with an empty status

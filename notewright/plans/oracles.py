@@ -1,7 +1,8 @@
 """The queries as plain SQL for DuckDB, to check results against.
 
 Written apart from the Spark code; the two share the fixed values and the arithmetic on keys
-that decides how a note is rendered. Expected outcomes of model responses are derived from the
+that decides how a note is rendered. Steps are materialised: inlined into each other, the chained
+replacements would be evaluated over and over. Expected outcomes of model responses are derived from the
 gold labels and the way a response was broken, not by parsing it.
 """
 
@@ -52,9 +53,9 @@ _CANCERS = ",\n".join(
 
 NOTES = f"""
 cancers(cancer, diagnosis, wordings, site, hist, pool, drugs) AS (VALUES {_CANCERS}),
-drawn AS (
+drawn AS MATERIALIZED (
   SELECT o_orderkey, 'NOTE-' || lpad(CAST(o_orderkey AS VARCHAR),
-           greatest(4, length(CAST(o_orderkey AS VARCHAR))), '0') AS note_id,
+           CAST(greatest(4, length(CAST(o_orderkey AS VARCHAR))) AS INTEGER), '0') AS note_id,
          c.*, {_draw('template')} % 4 AS template, {_draw('tnm_style')} % 100 AS style,
          {_pick('t', fv.T_VALUES)} AS t, {_pick('n', fv.N_VALUES)} AS n,
          {_pick('m', fv.M_VALUES)} AS m, {_pick('stage', fv.STAGE_VALUES)} AS stage,
@@ -65,14 +66,14 @@ drawn AS (
          1 + {_draw('med_count')} % 2 AS n_meds, {_draw('med_start')} % len(drugs) AS med_start
   FROM orders JOIN cancers c ON c.cancer = {_draw('cancer')} % 5
 ),
-chosen AS (
+chosen AS MATERIALIZED (
   SELECT *,
     list_transform((pool || pool)[marker_start + 1 : marker_start + n_markers], lambda p, i:
       {{'name': p.name, 'status': p.statuses[1 + (status_draw + i - 1) % len(p.statuses)]}}) AS markers,
     (drugs || drugs)[med_start + 1 : med_start + n_meds] AS meds
   FROM drawn
 ),
-slots AS (
+slots AS MATERIALIZED (
   SELECT *,
     1000000 + ({_draw('mrn')} * 137) % 9000000 AS x_mrn,
     lpad(CAST(1 + {_draw('month')} % 12 AS VARCHAR), 2, '0') || '/' ||
@@ -96,7 +97,7 @@ slots AS (
     array_to_string(meds, ', ') AS x_meds
   FROM chosen
 ),
-notes AS (
+notes AS MATERIALIZED (
   SELECT o_orderkey, note_id, {_filled(f"({_list(fv.NOTE_TEMPLATES)})[1 + template]")} AS text,
     diagnosis AS primary_diagnosis, site AS primary_site, hist AS histology,
     CASE WHEN style < 70 THEN t END AS t, CASE WHEN style < 70 THEN n END AS n,
@@ -126,12 +127,12 @@ def _redacted(source: str, key: str, rules=fv.REDACTION_RULES, names=_RULE_NAMES
             kept = r"\1"
         regex = _re2(pattern, ignore_case)
         steps.append(
-            f"by_{name} AS (SELECT * REPLACE (regexp_replace(text, {regex}, "
+            f"by_{name} AS MATERIALIZED (SELECT * REPLACE (regexp_replace(text, {regex}, "
             f"{_s(kept + fv.REDACTION_TOKEN)}, 'g') AS text), "
             f"CAST(len(regexp_extract_all(text, {regex})) AS INTEGER) AS {name} FROM {previous})")
         previous = f"by_{name}"
     total = " + ".join(names)
-    steps.append(f"deid AS (SELECT *, {total} AS redactions FROM {previous})")
+    steps.append(f"deid AS MATERIALIZED (SELECT *, {total} AS redactions FROM {previous})")
     return ",\n".join(steps)
 
 
@@ -155,7 +156,7 @@ _MARKER_HITS = ", ".join(
 
 
 def _facts(source: str, key: str = "note_id") -> str:
-    return f"""facts AS (
+    return f"""facts AS MATERIALIZED (
   SELECT {key}, 'baseline' AS method,
     {_keyword_case(1)} AS primary_diagnosis, {_keyword_case(2)} AS primary_site,
     {_keyword_case(3)} AS histology,
@@ -177,8 +178,8 @@ _VALID_KINDS = ("plain", "fenced", "fenced_json", "ecog_text", "upper_case", "ke
 _KIND = f"({_list(RESPONSE_KINDS)})[1 + {_draw('response')} % {len(RESPONSE_KINDS)}]"
 
 # what a prediction must be, by the way its response is written; ecog is its JSON text
-_MODEL = f"""kinds AS (SELECT *, {_KIND} AS kind FROM notes),
-model AS (
+_MODEL = f"""kinds AS MATERIALIZED (SELECT *, {_KIND} AS kind FROM notes),
+model AS MATERIALIZED (
   SELECT note_id, CASE WHEN ok THEN 'claude' ELSE 'claude_error' END AS method,
     CASE WHEN ok THEN CASE kind WHEN 'upper_case' THEN upper(primary_diagnosis)
       ELSE primary_diagnosis END END AS primary_diagnosis,
@@ -199,7 +200,7 @@ model AS (
   FROM (SELECT *, kind IN ({", ".join(map(_s, _VALID_KINDS))}) AS ok FROM kinds)
 )"""
 
-_ANSWERS = """written AS (
+_ANSWERS = """written AS MATERIALIZED (
   SELECT note_id, kind, '{"primary_diagnosis": "' ||
       CASE kind WHEN 'upper_case' THEN upper(primary_diagnosis) ELSE primary_diagnosis END ||
       '", "primary_site": "' || CASE kind WHEN 'upper_case' THEN upper(primary_site)
@@ -218,7 +219,7 @@ _ANSWERS = """written AS (
         THEN '"' || ecog || '"' ELSE CAST(ecog AS VARCHAR) END, 'null') || '}' AS body
   FROM kinds WHERE kind <> 'no_response'
 ),
-answers AS (
+answers AS MATERIALIZED (
   SELECT note_id,
     CASE kind WHEN 'fenced' THEN '```' || chr(10) || body || chr(10) || '```'
       WHEN 'fenced_json' THEN chr(10) || '```json' || chr(10) || body || chr(10) || '```' || chr(10)
@@ -266,10 +267,11 @@ def _counts(*systems: str) -> str:
         "model": _side("model", "model",
                        "CASE WHEN ecog_json LIKE '\"%' THEN 's:' || ecog ELSE 'n:' || ecog END"),
     }
-    return f"""gold_items(system, note_id, field, item) AS (
-  SELECT DISTINCT * FROM ({_side('gold', 'notes')}) WHERE item IS NOT NULL),
-pred_items(system, note_id, field, item) AS (
-  SELECT DISTINCT * FROM ({' UNION ALL '.join(sides[s] for s in systems)}) WHERE item IS NOT NULL),
+    return f"""gold_items(system, note_id, field, item) AS MATERIALIZED (
+  SELECT DISTINCT * FROM ({_side('gold', 'notes')}) AS side(system, note_id, field, item) WHERE item IS NOT NULL),
+pred_items(system, note_id, field, item) AS MATERIALIZED (
+  SELECT DISTINCT * FROM ({' UNION ALL '.join(sides[s] for s in systems)})
+    AS side(system, note_id, field, item) WHERE item IS NOT NULL),
 systems(ord, system) AS (VALUES {', '.join(f"({i}, {_s(s)})" for i, s in enumerate(systems))}),
 n_gold AS (SELECT field, count(*) AS n FROM gold_items GROUP BY field),
 n_pred AS (SELECT system, field, count(*) AS n FROM pred_items GROUP BY system, field),
@@ -342,7 +344,7 @@ _LEAK = " OR ".join(
 
 # --- landing and marts --------------------------------------------------------------------
 
-_LANDED = f"""landed AS (
+_LANDED = f"""landed AS MATERIALIZED (
   SELECT {_s(RULE_RUN)} AS run_id, note_id, method, primary_diagnosis, primary_site, histology,
     t, n, m, overall_stage, markers, meds, ecog FROM facts
   UNION ALL SELECT {_s(MODEL_RUN)}, note_id, method, primary_diagnosis, primary_site, histology,
@@ -354,11 +356,11 @@ _GROUP = "CASE {} ELSE {} END".format(
              for stages, group in fv.STAGE_GROUPS), _s(fv.STAGE_GROUP_OTHER))
 _STAMP = _s(str(LOADED_AT))
 _FCT = f"""{_ALL}, {_LANDED},
-fct AS (SELECT note_id, run_id, primary_site, icdo3_code, icdo3_label, primary_diagnosis, histology,
+fct AS MATERIALIZED (SELECT note_id, run_id, primary_site, icdo3_code, icdo3_label, primary_diagnosis, histology,
     overall_stage, t AS t_category, n AS n_category, m AS m_category,
     ecog AS ecog_performance_status, {_GROUP} AS stage_group, method, {_STAMP} AS loaded_at
   FROM landed LEFT JOIN codes USING (primary_site)),
-dim AS (SELECT note_id, primary_site, u.k.name AS biomarker_name, u.k.status AS biomarker_status
+dim AS MATERIALIZED (SELECT note_id, primary_site, u.k.name AS biomarker_name, u.k.status AS biomarker_status
   FROM landed, unnest(markers) AS u(k))"""
 _HER2 = """primary_site = 'breast' AND biomarker_name = 'HER2' AND biomarker_status = 'positive'"""
 
@@ -419,7 +421,7 @@ SELECT notes, input_tokens, output_tokens, round(cost, 6) AS cost,
   UNION ALL SELECT 'conversations', text FROM conversations
   UNION ALL SELECT 'pages', html FROM pages) GROUP BY source""",
     "last_record_wins": f"""WITH {_RULES},
-keyed AS (SELECT f.*, n.o_orderkey AS k FROM facts f JOIN notes n USING (note_id)),
+keyed AS MATERIALIZED (SELECT f.*, n.o_orderkey AS k FROM facts f JOIN notes n USING (note_id)),
 versions AS (
   SELECT note_id, 0 AS seq, primary_site FROM keyed
   UNION ALL SELECT note_id, 1, 'second' FROM keyed WHERE k % 5 = 0
