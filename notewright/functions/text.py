@@ -18,8 +18,6 @@ WHITESPACE = (
     + "    　"
 )
 
-_COMBINING_DOT = "̇"
-
 
 def spark_regex(pattern: str, ignore_case: bool = False) -> str:
     r"""Render a pattern so that ``\b \d \s`` are Unicode-aware in Spark.
@@ -61,9 +59,9 @@ def null_if_empty(c: Column) -> Column:
 
 
 def folded(c: Column) -> Column:
-    """Case-folded text for :func:`may_match`; every letter that matches an ASCII letter when
-    case is ignored (long s, dotless i, Kelvin sign) becomes that letter."""
-    return F.lower(F.upper(c))
+    """Upper-case text for :func:`may_match`, in which every letter that matches an ASCII letter
+    when case is ignored is that letter: upper case leaves the Kelvin sign and the dotted I."""
+    return F.replace(F.replace(F.upper(c), F.lit("\u212a"), F.lit("K")), F.lit("\u0130"), F.lit("I"))
 
 
 def may_match(text: Column, folded_text: Column, literal: str | None, ignore_case: bool) -> Column:
@@ -73,8 +71,4 @@ def may_match(text: Column, folded_text: Column, literal: str | None, ignore_cas
     """
     if literal is None:
         return F.lit(True)
-    if not ignore_case:
-        return text.contains(literal)
-    hit = folded_text.contains(literal.lower())
-    # a dotted capital I folds to i plus a combining dot
-    return hit | folded_text.contains(_COMBINING_DOT) if "i" in literal.lower() else hit
+    return folded_text.contains(literal.upper()) if ignore_case else text.contains(literal)

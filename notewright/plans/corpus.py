@@ -7,13 +7,14 @@ broken.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright import fixed_values as fv
 from notewright.operators.deidentify import deidentify
 from notewright.operators.extract import extract
-from notewright.operators.render import draw, pick_index, render_notes
+from notewright.operators.render import draw, pick, render_notes
 from notewright.operators.responses import model_predictions
 from notewright.schemas import FACT_COLUMNS
 from notewright.session import spread
@@ -24,10 +25,25 @@ RESPONSE_KINDS = (
 )
 
 
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def _planned_once(build):
+    """Keep the plan (not the data) of an input, for queries that use it more than once."""
+    @wraps(build)
+    def planned(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, id(spark), sf_dir, build.__name__)
+        if key not in _PLANS:
+            _PLANS[key] = build(spark, sf_dir)
+        return _PLANS[key]
+    return planned
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+@_planned_once
 def rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Notes with gold labels, one per order."""
     keys = spread(table(spark, sf_dir, "orders", "o_orderkey"), "o_orderkey")
@@ -42,10 +58,12 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rendered(spark, sf_dir).select("note_id", *FACT_COLUMNS)
 
 
+@_planned_once
 def deidentified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deidentify(raw_notes(spark, sf_dir))
 
 
+@_planned_once
 def rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(deidentified(spark, sf_dir))
 
@@ -60,6 +78,7 @@ def note_key(note_id: Column) -> Column:
     return F.substring(note_id, len("NOTE-") + 1, 20).cast("bigint")
 
 
+@_planned_once
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A response table as it would come back from a model, some of it broken.
 
@@ -67,9 +86,8 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     labels = gold(spark, sf_dir)
     key = note_key(F.col("note_id"))
-    kind = F.get(F.array(*[F.lit(k) for k in RESPONSE_KINDS]),
-                 pick_index(key, "response", len(RESPONSE_KINDS)))
-    keyed = labels.withColumns({"_kind": kind, "_key": key}).where("_kind <> 'no_response'")
+    keyed = labels.withColumn("_key", key).withColumn(
+        "_kind", pick("_key", "response", RESPONSE_KINDS)).where("_kind <> 'no_response'")
     is_kind = {k: F.col("_kind") == k for k in RESPONSE_KINDS}
 
     def quoted(c: Column) -> Column:
@@ -125,14 +143,12 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             block("thinking", F.lit("not part of the answer")),
             block("text", F.substring(a, cut + 1, F.length(a))),
         ).alias("content"),
-        (400 + draw(F.col("_key"), "tokens_in") % 800).alias("input_tokens"),
-        (60 + draw(F.col("_key"), "tokens_out") % 200).alias("output_tokens"),
+        F.expr(f"400 + {draw('_key', 'tokens_in')} % 800").alias("input_tokens"),
+        F.expr(f"60 + {draw('_key', 'tokens_out')} % 200").alias("output_tokens"),
     )
 
 
+@_planned_once
 def responded_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One prediction per note from the response table, missing answers included."""
     return model_predictions(raw_notes(spark, sf_dir), responses(spark, sf_dir))
-
-
-METHODS = (fv.METHOD_RULES, fv.METHOD_MODEL, fv.METHOD_MODEL_ERROR, fv.METHOD_OFFLINE)

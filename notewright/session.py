@@ -21,6 +21,10 @@ RUNTIME_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
+# Settings that can only be given when a session is made. Plans here hold hundreds of
+# expressions; noting the call site of each takes most of the time to build them.
+STATIC_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():

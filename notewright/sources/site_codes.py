@@ -9,7 +9,9 @@ from notewright.schemas import SITE_CODE
 
 
 def default_site_codes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(fv.SITE_CODES), SITE_CODE)
+    """The five built-in codes, as a literal table that needs no job to read."""
+    rows = ", ".join("('" + "', '".join(row) + "')" for row in fv.SITE_CODES)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS codes({', '.join(SITE_CODE.fieldNames())})")
 
 
 def read_site_codes(spark: SparkSession, path: str) -> DataFrame:
