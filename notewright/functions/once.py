@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,3 +16,17 @@ def once(c: Column) -> Column:
     the filter above. Columns that nobody reads are still pruned.
     """
     return F.when(F.spark_partition_id() >= 0, c)
+
+
+def settled(df: DataFrame, *columns: str) -> DataFrame:
+    """The same rows, with the named columns computed below this point only.
+
+    Where columns come from a chain of projections, each using the one before several times,
+    the optimizer must not look through the chain at all: a join on a column that depends on
+    it would be traced down and written out, doubling at every step. Passing a one-row
+    generator, the columns have no expression to trace. Everything named is computed, read or
+    not, so name what is needed.
+    """
+    others = [c for c in df.columns if c not in columns]
+    row = F.struct(*[F.col(c).alias(c) for c in columns])
+    return df.select(*others, F.inline_outer(F.array(row))).select(*df.columns)

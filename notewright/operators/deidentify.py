@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from notewright import fixed_values as fv
-from notewright.functions.once import once
+from notewright.functions.once import settled
 from notewright.functions.ratios import ratio
 from notewright.functions.text import folded, may_match, quote_replacement, spark_regex
 
@@ -36,25 +36,32 @@ def redact(
     rules: Sequence[Rule] = DEFAULT_RULES,
     token: str = fv.REDACTION_TOKEN,
     text: str = "text",
+    counted: bool = True,
 ) -> DataFrame:
     """Replace what the rules match, and count the replacements.
 
     Adds ``rule_redactions`` (one count per rule, in rule order) and ``redactions`` (their
-    sum). Counts nobody selects are pruned from the plan.
+    sum), unless ``counted`` is false.
 
     Counting by a second scan for the pattern would double the work. Matches are replaced by a
     mark first and the mark by the token, so the growth in bytes gives their number. A text
-    that holds the mark already is replaced directly and counted by the pattern. Each rule
-    adds two projections to the plan, however many rules there are.
+    that holds the mark already is replaced directly and counted by the pattern. The plan
+    grows by the same step for each rule.
     """
-    mark = _mark_for(token)
+    kept = notes.columns
+    quoted, mark = quote_replacement(token), _mark_for(token)
     growth = len(token.encode()) - len(mark.encode())
     column, plain = F.col(text), F.col("_plain")
-    notes = notes.withColumn("_plain", ~column.contains(mark))
+    if counted:
+        notes = notes.withColumn("_plain", ~column.contains(mark))
     for i, rule in enumerate(rules):
         pattern = F.lit(spark_regex(rule.pattern, rule.ignore_case))
         candidate = may_match(column, folded(column), rule.literal, rule.ignore_case)
-        stand_in = F.when(plain, mark).otherwise(quote_replacement(token))
+        if not counted:
+            replaced = F.regexp_replace(column, pattern, F.lit(quoted))
+            notes = notes.withColumn(text, F.when(candidate, replaced).otherwise(column))
+            continue
+        stand_in = F.when(plain, mark).otherwise(quoted)
         notes = notes.withColumns({
             "_marked": F.when(candidate, F.regexp_replace(column, pattern, stand_in))
             .otherwise(column),
@@ -67,12 +74,13 @@ def redact(
             text: swapped,
             f"_rule_{i}": F.when(plain, grown.cast("int")).otherwise(F.col("_counted")),
         })
+    if not counted:
+        return settled(notes.select(*kept), text)
     counts = [f"_rule_{i}" for i in range(len(rules))]
-    return notes.withColumns({
-        text: once(column),
-        "rule_redactions": once(F.array(*counts).cast("array<int>")),
-        "redactions": once(sum((F.col(c) for c in counts), F.lit(0))),
-    }).drop("_plain", "_marked", "_counted", *counts)
+    with_counts = notes.select(
+        *kept, F.array(*counts).cast("array<int>").alias("rule_redactions"),
+        sum((F.col(c) for c in counts), F.lit(0)).alias("redactions"))
+    return settled(with_counts, text, "rule_redactions", "redactions")
 
 
 def _mark_for(token: str) -> str:
@@ -84,7 +92,7 @@ def _mark_for(token: str) -> str:
 def deidentify(notes: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES,
                token: str = fv.REDACTION_TOKEN) -> DataFrame:
     """Notes fit to go on: ``note_id`` and redacted ``text``; the raw text is dropped."""
-    return redact(notes.select("note_id", "text"), rules, token).select("note_id", "text")
+    return redact(notes.select("note_id", "text"), rules, token, counted=False)
 
 
 def redaction_stats(redacted: DataFrame) -> DataFrame:

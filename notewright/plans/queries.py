@@ -12,6 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from notewright.functions.text import strip
 from notewright.operators import deidentify as deid
 from notewright.operators import landing, marts, quality, responses, scoring
 from notewright.operators.extract import rule_facts
@@ -130,7 +131,7 @@ def responses_joined(spark, sf_dir):
     text = responses.response_text(F.col("content"))
     return corpus.responses(spark, sf_dir).select("note_id", text.alias("text")).select(
         "note_id", F.md5("text").alias("text_md5"),
-        F.md5(responses.without_fence(F.col("text"))).alias("body_md5"))
+        F.md5(responses.without_fence(strip(F.col("text")))).alias("body_md5"))
 
 
 def responses_parsed(spark, sf_dir):
