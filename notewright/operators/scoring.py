@@ -131,7 +131,7 @@ def _prepared(frame: DataFrame, key: str, fields, order: str | None, prefix: str
     columns = []
     for i, field in enumerate(fields):
         c = F.col(field.name)
-        value = (field.items(c) if isinstance(field, SetField)
+        value = (F.array_distinct(field.items(c)) if isinstance(field, SetField)
                  else comparable(c, frame.schema[field.name].dataType))
         columns.append(value.alias(f"{prefix}_{i}"))
     return frame.select(key, *columns)
@@ -143,11 +143,8 @@ def _field_counts(field, gold: Column, pred: Column) -> dict[str, Column]:
         hits = {"tp": same, "fp": pred.isNotNull() & ~same, "fn": gold.isNotNull() & ~same}
         return {k: hit.cast("int") for k, hit in hits.items()}
     gold, pred = F.coalesce(gold, F.array()), F.coalesce(pred, F.array())
-    return {
-        "tp": F.size(F.array_intersect(gold, pred)),
-        "fp": F.size(F.array_except(pred, gold)),
-        "fn": F.size(F.array_except(gold, pred)),
-    }
+    shared = F.size(F.array_intersect(gold, pred))  # both sides hold distinct members
+    return {"tp": shared, "fp": F.size(pred) - shared, "fn": F.size(gold) - shared}
 
 
 def count_matches(
