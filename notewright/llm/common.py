@@ -71,3 +71,11 @@ def labelled_sample(
         docs.select("doc_id", text_or_empty().alias("text")).join(picked, "doc_id")
         .groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
     )
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """At most `rows` rows go to Python at a time: texts are long. Smaller settings are kept."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > rows:
+        spark.conf.set(name, str(rows))

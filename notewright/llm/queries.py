@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from notewright.llm import exact_dedup, license_scan, url_rules
+from notewright.llm import embedding_dedup, exact_dedup, license_scan, simhash, url_rules
 from notewright.llm.common import table
 
 
@@ -20,10 +20,20 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op5_url_filter": op5_url_filter,
     "op6_license_scan": op6_license_scan,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_simhash_dedup": op9_simhash_dedup,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 
