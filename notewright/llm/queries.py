@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from notewright.llm import embedding_dedup, exact_dedup, license_scan, simhash, url_rules
+from notewright.llm import embedding_dedup, exact_dedup, license_scan, line_dedup, simhash, url_rules
 from notewright.llm.common import table
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and a digest of what is left of every document."""
+    return line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_lines", "n_removed", "words_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.filter_urls(table(spark, sf_dir, "pages"))
 
@@ -29,6 +36,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_line_dedup": op4_line_dedup,
     "op5_url_filter": op5_url_filter,
     "op6_license_scan": op6_license_scan,
     "op7_exact_dedup": op7_exact_dedup,
