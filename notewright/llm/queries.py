@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.llm import embedding_dedup, exact_dedup, license_scan, line_dedup, simhash, url_rules
+from notewright.llm import embedding_dedup, exact_dedup, license_scan, line_dedup, sentencepiece, simhash, url_rules
 from notewright.llm.common import table
 
+MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and a digest of what is left of every document."""
@@ -27,6 +29,14 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str, model_file: str = MODEL_FILE) -> DataFrame:
+    """Piece counts, a digest of the ids, the n best scores, and a digest of the decoded text."""
+    encoded = sentencepiece.encode(table(spark, sf_dir, "documents"), model_file)
+    return sentencepiece.decode(encoded, model_file).select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_xxhash64"),
+        "n_best_scores", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -40,6 +50,7 @@ QUERIES = {
     "op5_url_filter": op5_url_filter,
     "op6_license_scan": op6_license_scan,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
