@@ -30,9 +30,12 @@ from notewright.llm.common import labelled_sample, small_batches, text_or_empty
 DECAY = 0.6
 SPAN = 6  # characters a subsequence may reach over
 SYMBOLS = 64
-FIT_DOCUMENTS = 3000  # labelled documents of each class
-FIT_SENTENCES = 40_000  # sentences of each class
+FIT_DOCUMENTS = 1500  # labelled documents of each class
+FIT_CHARACTERS = 20_000  # of a document to learn from; longer ones are not in the sample
 LANDMARKS = 192
+ALIKE = 0.7  # landmarks of more kernel than this with one another add nothing
+SUSPECT = 3.5  # log odds from which a first guess is taken at its word
+LIFT = 5.0  # how much oftener than in clean documents a word to blame must stand in toxic ones
 ROUNDS = 4
 _WINDOW = 32  # longer words are met in overlapping pieces
 _REMEMBERED = 400_000
@@ -195,13 +198,14 @@ def train(sentences: list[tuple[int, int, list[str]]], landmarks: int = LANDMARK
 
     first = _suspicion(pairs, vocabulary, {d for d in docs if owner_label[d]}, len(docs))
     blame = _witnesses(first, doc, word, toxic, len(docs))
+    often = np.bincount(word[toxic], minlength=len(vocabulary))
+    lift = (often / label.sum()) / ((np.bincount(word[~toxic], minlength=len(vocabulary)) + 0.5) / (1 - label).sum())
+    apart = (often > 0) & (lift >= LIFT)  # words that clean documents hardly use
+    accused = np.union1d(blame[blame >= 0], np.flatnonzero(apart & (first >= SUSPECT)))
     random = np.random.default_rng(11)
-    named, times = np.unique(blame[blame >= 0], return_counts=True)
     clean = np.unique(word[~toxic])
-    half = min(landmarks // 2, len(named))
-    chosen = named[np.argsort(-times, kind="stable")[:half]].tolist()
-    others = [w for w in random.permutation(clean).tolist() if w not in set(chosen)]
-    chosen += others[: landmarks - half]
+    chosen = _unlike(accused[np.argsort(-often[accused], kind="stable")][:1500], vocabulary, landmarks // 2)
+    chosen += [w for w in random.permutation(clean).tolist() if w not in set(chosen)][: landmarks - len(chosen)]
     marks = [vocabulary[i] for i in chosen]
 
     among = _kernel(marks, marks)
@@ -210,16 +214,20 @@ def train(sentences: list[tuple[int, int, list[str]]], landmarks: int = LANDMARK
     features = (_kernel(vocabulary, marks) @ root).astype(np.float32)
     decision = first
     for _ in range(ROUNDS):
-        witness = np.unique(blame[blame >= 0])
+        witness = np.union1d(blame[apart[blame] & (blame >= 0)], accused)
+        if not len(witness):
+            witness = np.unique(blame[blame >= 0])
         hard = clean[np.argsort(-decision[clean], kind="stable")[:4000]]
         easy = random.choice(clean, min(len(clean), 8000), replace=False)
         against = np.setdiff1d(np.union1d(hard, easy), witness)
         rows = np.concatenate([witness, against])
         y = np.concatenate([np.ones(len(witness)), -np.ones(len(against))])
-        weight = np.where(y > 0, 0.5 / max(1, len(witness)), 0.5 / max(1, len(against)))
+        weight = np.concatenate([
+            0.5 * often[witness] / often[witness].sum(), np.full(len(against), 0.5 / max(1, len(against)))])
         w, bias = _fit_machine(features[rows].astype(float), y, weight)
         decision = features @ w + bias
         blame = _witnesses(decision, doc, word, toxic, len(docs))
+        accused = np.flatnonzero(apart & ((first >= SUSPECT) | (decision > 0.5)))
     highest = np.full(len(docs), -2.0)
     np.maximum.at(highest, doc, decision[word])
     slope, offset = _fit_logistic(highest, label)
@@ -229,6 +237,16 @@ def train(sentences: list[tuple[int, int, list[str]]], landmarks: int = LANDMARK
     return Model(folded.astype(np.float32), bias, slope, offset)
 
 
+def _unlike(words: np.ndarray, vocabulary: list[str], most: int) -> list[int]:
+    """The first words, in order, without those too much like an earlier one."""
+    among = _kernel([vocabulary[i] for i in words], [vocabulary[i] for i in words])
+    chosen: list[int] = []
+    for i in range(len(words)):
+        if len(chosen) < most and all(among[i, j] <= ALIKE for j in chosen):
+            chosen.append(i)
+    return [int(words[i]) for i in chosen]
+
+
 def _suspicion(pairs: list[tuple[int, str]], vocabulary: list[str], toxic: set[int], n: int) -> np.ndarray:
     """A first guess for each word: how much oftener its most telling beginning or middle of four
     characters stands in toxic documents.
@@ -256,9 +274,9 @@ def _witnesses(decision: np.ndarray, doc: np.ndarray, word: np.ndarray, toxic: n
     return out
 
 
-def training_sentences(docs: DataFrame, labels: DataFrame, keep: Column, per_class: int = FIT_DOCUMENTS,
-                       sentences: int = FIT_SENTENCES) -> list[tuple[int, int, list[str]]]:
-    """A bounded sample: at most `sentences` sentences of each class, from per_class documents."""
+def training_sentences(docs: DataFrame, labels: DataFrame, keep: Column,
+                       per_class: int = FIT_DOCUMENTS) -> list[tuple[int, int, list[str]]]:
+    """All sentences of a bounded sample: per_class documents of each class, none over FIT_CHARACTERS."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
@@ -273,15 +291,12 @@ def training_sentences(docs: DataFrame, labels: DataFrame, keep: Column, per_cla
                                   ("words", pa.list_(pa.string()))]))
 
     small_batches(docs.sparkSession)
-    cut = labelled_sample(docs, labels, "toxic", keep, per_class).select(
+    short = docs.where(F.length(text_or_empty()) <= FIT_CHARACTERS)
+    found = labelled_sample(short, labels, "toxic", keep, per_class).select(
         F.xxhash64("doc_id").alias("doc"), "label", "text"
-    ).mapInArrow(run, "doc long, label int, number long, words array<string>")
-    order = [F.xxhash64("doc", "number", "words"), "doc", "number"]
-    rows = []
-    for label in (0, 1):
-        found = cut.where(F.col("label") == label).orderBy(*order).limit(sentences).toArrow()
-        rows += zip(*(found.column(c).to_pylist() for c in ("doc", "label", "words")), strict=True)
-    return rows
+    ).mapInArrow(run, "doc long, label int, number long, words array<string>").toArrow()
+    rows = zip(*(found.column(c).to_pylist() for c in ("doc", "label", "words")), strict=True)
+    return sorted(rows)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
