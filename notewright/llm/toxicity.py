@@ -7,8 +7,8 @@ inserted, dropped or between separators, or with an unseen ending, still shares
 Words of labelled sentences give Nystrom landmarks; on them the kernel has an explicit feature map,
 in which a linear support vector machine is trained. A toxic document only says that some word in
 it is to blame, so training alternates: take each toxic document's highest word as its witness, then
-fit witnesses against the words of clean sentences, the highest ones among them. A document scores
-by its highest word.
+fit witnesses against the words of clean sentences, the highest ones among them. A document is
+scored by a logistic curve over its highest decisions and how many words pass some levels.
 
 As machine and landmarks are linear in subsequence counts, they fold into one weight for every
 subsequence; a word costs one look-up for each subsequence that it has.
@@ -17,6 +17,7 @@ subsequence; a word costs one look-up for each subsequence that it has.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -37,6 +38,9 @@ ALIKE = 0.7  # landmarks of more kernel than this with one another add nothing
 SUSPECT = 3.5  # log odds from which a first guess is taken at its word
 LIFT = 5.0  # how much oftener than in clean documents a word to blame must stand in toxic ones
 ROUNDS = 4
+DOUBT = 5.0  # weight of a witness's use in clean documents
+NOTHING = -2.0  # decision where there is no word
+LEVELS = (-0.5, -0.25, 0.0, 0.25, 0.5, 0.75, 1.0)
 _WINDOW = 32  # longer words are met in overlapping pieces
 _REMEMBERED = 400_000
 
@@ -47,8 +51,7 @@ _SENTENCE_END = re.compile(r"(?<=[.!?])\s+|\n")
 class Model(NamedTuple):
     weights: np.ndarray  # of every subsequence, float32
     bias: float
-    slope: float  # score = logistic(slope * decision + offset)
-    offset: float
+    reader: np.ndarray  # logistic weights of a document's features, the last one constant
 
 
 def units(tokens: Iterable[str]) -> dict[str, str]:
@@ -163,18 +166,33 @@ def _fit_machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
     return w[:-1], float(w[-1])
 
 
-def _fit_logistic(decision: np.ndarray, label: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve through smoothed labels, the classes weighing the same."""
-    high, low = (label.sum() + 1) / (label.sum() + 2), 1 / ((1 - label).sum() + 2)
-    target = np.where(label == 1, high, low)
-    weight = np.where(label == 1, 0.5 / max(1, label.sum()), 0.5 / max(1, (1 - label).sum()))
-    x = np.stack([decision, np.ones(len(decision))], axis=1)
-    w = np.array([1.0, 0.0])
-    for _ in range(50):
+def document_features(decision: np.ndarray) -> np.ndarray:
+    """What a document is scored by: its three highest decisions, and word counts above LEVELS."""
+    distinct = np.unique(np.round(decision, 6))[::-1]
+    top = np.full(3, NOTHING)
+    top[: len(distinct)] = distinct[:3]
+    above = np.array([(distinct > level).sum() for level in LEVELS], dtype=float)
+    share = 10 * above / np.sqrt(len(distinct) + 20)
+    return np.concatenate([np.clip(top, NOTHING, 2), np.log1p(above), share, [1.0]])
+
+
+def _fit_logistic(x: np.ndarray, label: np.ndarray, ridge: float = 0.5) -> np.ndarray:
+    """Weights of a logistic curve through the labels, by Newton steps."""
+    w = np.zeros(x.shape[1])
+    penalty = np.full(x.shape[1], ridge)
+    penalty[-1] = 1e-6
+    for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-4 * np.eye(2)
-        w = w - np.linalg.solve(h, x.T @ (weight * (p - target)) + 1e-4 * (w - [1.0, 0.0]))
-    return float(max(w[0], 0.1)), float(w[1])
+        h = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty + 1e-9)
+        step = np.linalg.solve(h, x.T @ (p - label) + penalty * w)
+        w = w - step * min(1.0, 5 / max(1e-9, np.abs(step).max()))
+        if np.abs(step).max() < 1e-7:
+            break
+    return w
+
+
+def _logistic(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
 def train(sentences: list[tuple[int, int, list[str]]], landmarks: int = LANDMARKS) -> Model:
@@ -182,9 +200,12 @@ def train(sentences: list[tuple[int, int, list[str]]], landmarks: int = LANDMARK
 
     With no toxic or no clean sentences every document scores as not toxic.
     """
+    sentences = _without_copies(sentences)
     owner_label = {doc: label for doc, label, _ in sentences}
     if set(owner_label.values()) != {0, 1}:
-        return Model(np.zeros(SYMBOLS**3, dtype=np.float32), -1.0, 1.0, -2.0)
+        never = np.zeros(len(document_features(np.zeros(0))))
+        never[-1] = -3.0
+        return Model(np.zeros(SYMBOLS**3, dtype=np.float32), -1.0, never)
     pairs = {(doc, piece) for doc, _, words in sentences for w in words for piece in _pieces(w)}
     pairs = sorted(pairs)
     vocabulary = sorted({w for _, w in pairs})
@@ -199,7 +220,9 @@ def train(sentences: list[tuple[int, int, list[str]]], landmarks: int = LANDMARK
     first = _suspicion(pairs, vocabulary, {d for d in docs if owner_label[d]}, len(docs))
     blame = _witnesses(first, doc, word, toxic, len(docs))
     often = np.bincount(word[toxic], minlength=len(vocabulary))
-    lift = (often / label.sum()) / ((np.bincount(word[~toxic], minlength=len(vocabulary)) + 0.5) / (1 - label).sum())
+    cleanly = np.bincount(word[~toxic], minlength=len(vocabulary))
+    ratio = label.sum() / (1 - label).sum()
+    lift = often / ((cleanly + 0.5) * ratio)
     apart = (often > 0) & (lift >= LIFT)  # words that clean documents hardly use
     accused = np.union1d(blame[blame >= 0], np.flatnonzero(apart & (first >= SUSPECT)))
     random = np.random.default_rng(11)
@@ -221,20 +244,53 @@ def train(sentences: list[tuple[int, int, list[str]]], landmarks: int = LANDMARK
         easy = random.choice(clean, min(len(clean), 8000), replace=False)
         against = np.setdiff1d(np.union1d(hard, easy), witness)
         rows = np.concatenate([witness, against])
-        y = np.concatenate([np.ones(len(witness)), -np.ones(len(against))])
-        weight = np.concatenate([
-            0.5 * often[witness] / often[witness].sum(), np.full(len(against), 0.5 / max(1, len(against)))])
+        # a witness that clean documents use as well counts on both sides
+        both = witness[cleanly[witness] > 0]
+        rows = np.concatenate([rows, both])
+        y = np.concatenate([np.ones(len(witness)), -np.ones(len(against) + len(both))])
+        whole = often[witness].sum()
+        weight = 0.5 * np.concatenate([
+            often[witness] / whole, np.full(len(against), 1 / max(1, len(against))),
+            DOUBT * ratio * cleanly[both] / whole])
         w, bias = _fit_machine(features[rows].astype(float), y, weight)
         decision = features @ w + bias
         blame = _witnesses(decision, doc, word, toxic, len(docs))
         accused = np.flatnonzero(apart & ((first >= SUSPECT) | (decision > 0.5)))
-    highest = np.full(len(docs), -2.0)
-    np.maximum.at(highest, doc, decision[word])
-    slope, offset = _fit_logistic(highest, label)
+    order = np.argsort(doc, kind="stable")
+    parts = np.split(decision[word[order]], np.cumsum(np.bincount(doc, minlength=len(docs)))[:-1])
+    reader = _fit_logistic(np.stack([document_features(p) for p in parts]), label)
     folded = np.zeros(SYMBOLS**3)
     for rows, numbers, counts in subsequences(marks):
         np.add.at(folded, numbers, counts * (root @ w)[rows][:, None])
-    return Model(folded.astype(np.float32), bias, slope, offset)
+    return Model(folded.astype(np.float32), bias, reader)
+
+
+def _without_copies(sentences: list[tuple[int, int, list[str]]]) -> list[tuple[int, int, list[str]]]:
+    """Without documents most of whose words an earlier one has: what copies share tells nothing.
+
+    Of 16 minimum hashes of a document's words, more than half must agree.
+    """
+    words: dict[int, set[str]] = {}
+    for doc, _, found in sentences:
+        words.setdefault(doc, set()).update(found)
+    salts = np.random.default_rng(5).integers(1, 2**63, 16).astype(np.uint64) | np.uint64(1)
+    met: dict[tuple[int, int], set[int]] = {}
+    copies = set()
+    for doc in sorted(words):
+        hashes = np.array([zlib.crc32(w.encode()) for w in words[doc]], dtype=np.uint64)
+        if not len(hashes):
+            continue
+        least = ((hashes + np.uint64(1)) * salts[:, None] >> np.uint64(20)).min(axis=1).tolist()
+        shared: dict[int, int] = {}
+        for slot in enumerate(least):
+            for other in met.get(slot, ()):
+                shared[other] = shared.get(other, 0) + 1
+        if any(n > 8 for n in shared.values()):
+            copies.add(doc)
+            continue
+        for slot in enumerate(least):
+            met.setdefault(slot, set()).add(doc)
+    return [s for s in sentences if s[0] not in copies]
 
 
 def _unlike(words: np.ndarray, vocabulary: list[str], most: int) -> list[int]:
@@ -321,9 +377,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             words = units(new)
             names = list(set(words.values()))
             value = dict(zip(names, decisions(own, names).tolist(), strict=True))
-            seen.update((t, value[words[t]] if t in words else -2.0) for t in new)
-            highest = np.array([max(map(seen.__getitem__, t), default=-2.0) for t in tokens])
-            result = 1 / (1 + np.exp(-np.clip(own.slope * highest + own.offset, -30, 30)))
+            seen.update((t, value[words[t]] if t in words else NOTHING) for t in new)
+            features = [
+                document_features(np.fromiter(map(seen.__getitem__, t), dtype=float, count=len(t)))
+                for t in tokens]
+            result = _logistic(np.array(features).reshape(len(features), -1) @ own.reader)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(result, pa.float64())], ["doc_id", "score"])
 
