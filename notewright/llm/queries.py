@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.llm import embedding_dedup, exact_dedup, license_scan, line_dedup, sentencepiece, simhash, toxicity, url_rules
+from notewright.llm import embedding_dedup, exact_dedup, license_scan, line_dedup, quality, sentencepiece, simhash, toxicity, url_rules
 from notewright.llm.common import fold, table
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -18,6 +18,13 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from labels outside fold 1 of 3."""
+    scored = quality.quality(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
+    return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and a digest of what is left of every document."""
     return line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
@@ -54,6 +61,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op3_quality": op3_quality,
     "op4_line_dedup": op4_line_dedup,
     "op5_url_filter": op5_url_filter,
     "op6_license_scan": op6_license_scan,
