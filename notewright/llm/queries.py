@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.llm import embedding_dedup, exact_dedup, license_scan, line_dedup, quality, sentencepiece, simhash, toxicity, url_rules
+from notewright.llm import embedding_dedup, exact_dedup, license_scan, line_dedup, mixing, quality, sentencepiece, simhash, toxicity, url_rules
 from notewright.llm.common import fold, table
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 
+MIXTURE = {"refined": 0.95, "rough": 0.03, "harsh": 0.02}
+
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learned from labels outside fold 0 of 5."""
@@ -18,6 +20,15 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates for a mixture of mostly refined text; domains and their labels come from labels."""
+    labels = table(spark, sf_dir, "labels")
+    fitted = mixing.rates(table(spark, sf_dir, "documents"), mixing.quality_domains(labels), MIXTURE)
+    return fitted.select(
+        "doc_id", "tokens", *(F.round(F.col("p")[i], 6).alias(f"p_{d}") for i, d in enumerate(sorted(MIXTURE))),
+        F.round("rate", 6).alias("rate"), "copies")
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learned from labels outside fold 1 of 3."""
     scored = quality.quality(
@@ -61,6 +72,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_mixing": op2_mixing,
     "op3_quality": op3_quality,
     "op4_line_dedup": op4_line_dedup,
     "op5_url_filter": op5_url_filter,
