@@ -142,6 +142,12 @@ def training_passages(docs: DataFrame, labels: DataFrame, keep: Column,
     return x[order], owner, label[order][first]
 
 
+def _model(docs: DataFrame, labels: DataFrame, keep: Column):
+    small_batches(docs.sparkSession)
+    return docs.sparkSession.sparkContext.broadcast(  # its size is fixed
+        train(*training_passages(docs, labels, keep)))
+
+
 def quality(docs: DataFrame, labels: DataFrame, keep: Column) -> DataFrame:
     """doc_id, score, predicted (1 from 0.5 on) of every row of docs, one row for each.
 
@@ -150,9 +156,7 @@ def quality(docs: DataFrame, labels: DataFrame, keep: Column) -> DataFrame:
     columns of docs are not read. Labels that are null, contradict each other or belong to no
     document are not used; without labels all is of quality 1. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
-    shared = spark.sparkContext.broadcast(train(*training_passages(docs, labels, keep)))  # a fixed size
+    shared = _model(docs, labels, keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,3 +167,15 @@ def quality(docs: DataFrame, labels: DataFrame, keep: Column) -> DataFrame:
     return docs.select("doc_id", text_or_empty().cast("binary").alias("text")).mapInArrow(
         run, f"doc_id {kind}, score double"
     ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def of_quality(docs: DataFrame, labels: DataFrame, keep: Column) -> DataFrame:
+    """The rows of docs, all columns as they are, whose text is predicted to be of quality 1; see quality."""
+    shared = _model(docs, labels, keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = scores(shared.value, batch.column("_bytes").to_pylist()) >= 0.5
+            yield batch.select([c for c in batch.schema.names if c != "_bytes"]).filter(pa.array(good))
+
+    return docs.withColumn("_bytes", text_or_empty().cast("binary")).mapInArrow(run, docs.schema)
