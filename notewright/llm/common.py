@@ -79,3 +79,11 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     now = int(spark.conf.get(name))
     if now <= 0 or now > rows:
         spark.conf.set(name, str(rows))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """name, or the first of name_, name__, ... that is no column of df, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

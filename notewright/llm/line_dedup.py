@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from notewright.llm.common import durable, small_batches, text_or_empty
+from notewright.llm.common import durable, small_batches, text_or_empty, unused
 
 MIN_WORDS = 50
 
@@ -131,15 +131,17 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
     runs = repeated_windows(docs, min_words).groupBy("doc").agg(
         F.collect_set(F.struct("start", "end")).alias("runs"))
     names = docs.columns
-    wide = docs.withColumn("_doc", _doc()).join(runs.withColumnRenamed("doc", "_doc"), "_doc", "left").select(
-        *names, F.col("text").cast("binary").alias("_text"), F.coalesce("runs", F.array()).alias("_runs"))
+    key, whole, cut = (unused(docs, n) for n in ("doc", "bytes", "runs"))
+    keyed = docs.withColumn(key, _doc())
+    wide = keyed.join(runs, keyed[key] == runs["doc"], "left").select(
+        *(keyed[n] for n in names), keyed["text"].cast("binary").alias(whole),
+        F.coalesce(runs["runs"], F.array()).alias(cut))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = [
-                (None, 0, 0, 0) if text is None else _without(text, runs)
-                for text, runs in zip(batch.column("_text").to_pylist(), batch.column("_runs").to_pylist(),
-                                      strict=True)]
+                (None, 0, 0, 0) if text is None else _without(text, found)
+                for text, found in zip(batch.column(whole).to_pylist(), batch.column(cut).to_pylist(), strict=True)]
             texts, *counts = zip(*done, strict=True) if done else ((),) * 4
             columns = {n: batch.column(n) for n in names}
             columns["text"] = pa.array(texts, pa.binary()).cast(pa.string())

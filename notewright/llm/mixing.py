@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from notewright.llm.common import durable, labelled_sample, small_batches, text_or_empty
+from notewright.llm.common import durable, labelled_sample, small_batches, text_or_empty, unused
 from notewright.llm.passages import FEATURES, Passages, sections
 
 HASHED = 1 << 16  # word and stem features, half each
@@ -200,11 +200,10 @@ def thin(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], stay:
     probability. Where targets ask for more of a domain than there is, its documents all stay.
     """
     drawn = rates(docs, labelled, targets, stay).where("copies = 0").select("doc_id", "text_key").distinct()
-    keyed = docs.withColumn("_key", F.xxhash64(text_or_empty()))
-    gone = drawn.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_gone"))
-    return keyed.join(
-        gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_gone")), "left_anti"
-    ).drop("_key")
+    key = unused(docs, "key")
+    keyed = docs.withColumn(key, F.xxhash64(text_or_empty()))
+    same = keyed["doc_id"].eqNullSafe(drawn["doc_id"]) & (keyed[key] == drawn["text_key"])
+    return keyed.join(drawn, same, "left_anti").drop(key)
 
 
 def quality_domains(labels: DataFrame) -> DataFrame:

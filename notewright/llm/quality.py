@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from notewright.llm.common import labelled_sample, small_batches, text_or_empty
+from notewright.llm.common import labelled_sample, small_batches, text_or_empty, unused
 from notewright.llm.passages import FEATURES, Passages, sections
 
 FIT_DOCUMENTS = 2000  # labelled documents of each class
@@ -172,10 +172,11 @@ def quality(docs: DataFrame, labels: DataFrame, keep: Column) -> DataFrame:
 def of_quality(docs: DataFrame, labels: DataFrame, keep: Column) -> DataFrame:
     """The rows of docs, all columns as they are, whose text is predicted to be of quality 1; see quality."""
     shared = _model(docs, labels, keep)
+    extra = unused(docs, "bytes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = scores(shared.value, batch.column("_bytes").to_pylist()) >= 0.5
-            yield batch.select([c for c in batch.schema.names if c != "_bytes"]).filter(pa.array(good))
+            good = scores(shared.value, batch.column(extra).to_pylist()) >= 0.5
+            yield batch.select([c for c in batch.schema.names if c != extra]).filter(pa.array(good))
 
-    return docs.withColumn("_bytes", text_or_empty().cast("binary")).mapInArrow(run, docs.schema)
+    return docs.withColumn(extra, text_or_empty().cast("binary")).mapInArrow(run, docs.schema)

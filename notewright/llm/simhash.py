@@ -166,10 +166,10 @@ def _spread(prints: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def near_links(prints: DataFrame, bits: int = MOST_BITS) -> DataFrame:
-    """(a, b): enough links between distinct fingerprints of at most `bits` differing bits.
+    """(a, b): fingerprints that links of at most `bits` differing bits connect, as a forest.
 
-    prints: one column, fingerprint, without repeats. The links connect exactly those fingerprints
-    that links of all such pairs would connect.
+    prints: one column, fingerprint, without repeats. The rows connect exactly those fingerprints
+    that links of all such pairs would connect; a row itself may stand for a chain of links.
     """
     if not 0 <= bits <= MOST_BITS:
         raise ValueError(f"the index finds pairs of at most {MOST_BITS} differing bits")
