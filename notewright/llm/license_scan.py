@@ -11,10 +11,14 @@ Frequencies are needed for the words of the templates alone: no other word can b
 
 from __future__ import annotations
 
+import functools
+import math
+import operator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.llm.common import ascii_lower, text_or_empty
+from notewright.llm.common import ascii_lower, durable, text_or_empty
 
 THRESHOLD = 0.8
 MOST_TEMPLATES = 1000  # the template side is broadcast; more than this is refused
@@ -53,75 +57,76 @@ def _starts(phrase: str) -> str:
         f"get(words, i + {k}) = '{word}'" for k, word in enumerate(phrase.split())) + ")"
 
 
-def phrase_places(docs: DataFrame, phrases: dict[str, str]) -> DataFrame:
-    """doc_id, low, words and the places (start, label) of every phrase."""
+def read_texts(docs: DataFrame, phrases: dict[str, str], known: list[str]) -> DataFrame:
+    """One pass over the texts: doc_id, text_key, word count, places of phrases, known words held.
+
+    places has a (start, label) for every place of a phrase; the phrase's words are looked for
+    only in texts that hold them somewhere.
+    """
     may = " or ".join(
         "(" + " and ".join(f"contains(low, '{w}')" for w in p.split()) + ")" for p in phrases)
     cases = " ".join(f"when {_starts(p)} then '{label}'" for p, label in phrases.items())
     return (
         docs.select("doc_id", ascii_lower(text_or_empty()).alias("low"))
         .withColumn("words", words(F.col("low")))
-        .withColumn("places", F.expr(
-            f"""case when size(words) > 0 and ({may}) then filter(
+        .select("doc_id", F.xxhash64("low").alias("text_key"),
+                F.size("words").cast("long").alias("n_words"),
+                F.array_intersect(F.array(*map(F.lit, known)), "words").alias("held"),
+                F.expr(f"""case when size(words) > 0 and ({may}) then filter(
                   transform(sequence(0, size(words) - 1),
                             i -> struct(i as start, case {cases} end as label)),
                   p -> p.label is not null)
-                else array() end"""))
+                else array() end""").alias("places"))
     )
 
 
-def template_index(spark: SparkSession, scanned: DataFrame, templates: dict[str, str],
-                   threshold: float) -> tuple[list[str], list[tuple]]:
-    """The templates' words, rarest first, and the prefix index (word, label, place, size, need).
-
-    scanned: words of every document. What comes to the driver is one count for each template word.
-    """
+def template_words(spark: SparkSession, templates: dict[str, str]) -> dict[str, list[str]]:
+    """The distinct words of every template."""
     if len(templates) > MOST_TEMPLATES:
         raise ValueError(f"at most {MOST_TEMPLATES} templates, which are broadcast")
-    sets = {
-        row.label: set(row.words) for row in
-        spark.createDataFrame(list(templates.items()), "label string, text string")
-        .select("label", words(ascii_lower(F.col("text"))).alias("words")).collect()
-    }
-    if any(not s for s in sets.values()):
+    rows = spark.createDataFrame(list(templates.items()), "label string, text string").select(
+        "label", F.array_sort(F.array_distinct(words(ascii_lower(F.col("text"))))).alias("words")).collect()
+    if any(not row.words for row in rows):
         raise ValueError("a template without words would be contained in every line")
-    known = sorted(set().union(*sets.values()))
-    found = dict(
-        scanned.select(F.explode(F.array_intersect(
-            F.array(*map(F.lit, known)), F.col("words"))).alias("word"))
-        .groupBy("word").count().collect())
-    order = sorted(known, key=lambda w: (found.get(w, 0), w))
+    return {row.label: row.words for row in rows}
+
+
+def prefix_index(read: DataFrame, sets: dict[str, list[str]], threshold: float) -> tuple[list[str], list]:
+    """The templates' words, rarest first, and rows (word, label, place, size, need, template).
+
+    What comes to the driver is one document count for each template word.
+    """
+    found = dict(read.select(F.explode("held").alias("word")).groupBy("word").count().collect())
+    order = sorted(set().union(*sets.values()), key=lambda w: (found.get(w, 0), w))
     place = {w: i for i, w in enumerate(order)}
     index = []
-    for label, s in sorted(sets.items()):
-        need = -int(-threshold * len(s) // 1)
-        for i, w in enumerate(sorted(s, key=place.get)[: len(s) - need + 1]):
-            index.append((w, label, i, len(s), need))
+    for label, held in sorted(sets.items()):
+        need = math.ceil(threshold * len(held) - 1e-9)
+        ranked = sorted(held, key=place.get)
+        index += [(w, label, i, len(held), need, ranked) for i, w in enumerate(ranked[: len(held) - need + 1])]
     return order, index
 
 
-def contained_templates(spark: SparkSession, scanned: DataFrame, templates: dict[str, str],
-                        threshold: float = THRESHOLD) -> DataFrame:
+def contained_templates(docs: DataFrame, order: list[str], index: list) -> DataFrame:
     """doc_id, text_key, line, label, containment: every line and template at or above threshold."""
-    order, index = template_index(spark, scanned, templates, threshold)
-    ordered = F.array(*map(F.lit, order))
-    sets = spark.createDataFrame(list(templates.items()), "label string, text string").select(
-        "label", F.array_distinct(words(ascii_lower(F.col("text")))).alias("template"))
-    prefixes = spark.createDataFrame(
-        index, "word string, label string, i int, size int, need int").join(sets, "label")
-    first = F.array(*(F.lit(w) for w in sorted({entry[0] for entry in index})))
+    prefixes = docs.sparkSession.createDataFrame(
+        index, "word string, label string, i int, size int, need int, template array<string>")
+    first = sorted({entry[0] for entry in index})
+    # bound to one variable, so that lower-casing isn't repeated for every word
+    somewhere = F.exists(F.array("low"), lambda low: functools.reduce(
+        operator.or_, (F.contains(low, F.lit(w)) for w in first)))
     lines = (
-        scanned.where(F.arrays_overlap("words", first))
+        docs.select("doc_id", ascii_lower(text_or_empty()).alias("low")).where(somewhere)
         .select("doc_id", F.xxhash64("low").alias("text_key"),
-                F.posexplode(F.split("low", "\n")).alias("line", "block"))
+                F.posexplode(F.split("low", "\n")).alias("line", "low"))
+        .where(somewhere)
         .select("doc_id", "text_key", "line",
-                F.array_intersect(ordered, words(F.col("block"))).alias("held"))
-        .where(F.arrays_overlap("held", first))
+                F.array_intersect(F.array(*map(F.lit, order)), words(F.col("low"))).alias("held"))
     )
     met = (
         lines.select("*", F.size("held").alias("n"), F.posexplode("held").alias("j", "word"))
         .join(F.broadcast(prefixes), "word")
-        .where("n >= need and 1 + least(size - i - 1, n - j - 1) >= need - least(i, j)")
+        .where("n >= need and 1 + least(i, j) + least(size - i - 1, n - j - 1) >= need")
     )
     overlap = F.size(F.array_intersect("held", "template"))
     return (
@@ -140,17 +145,16 @@ def scan_licences(docs: DataFrame, phrases: dict[str, str] = PHRASES,
     empty: no words, no labels, score 0. Ids may be null or repeated: results belong to the row's
     own text. Other columns of docs are not read; an empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    scanned = phrase_places(docs, phrases)
+    sets = template_words(docs.sparkSession, templates)
+    read = durable(read_texts(docs, phrases, sorted(set().union(*sets.values()))))
     by_text = (
-        contained_templates(spark, scanned, templates, threshold)
+        contained_templates(docs, *prefix_index(read, sets, threshold))
         .groupBy("doc_id", "text_key")
         .agg(F.collect_set("label").alias("own"), F.max("containment").alias("containment"))
         .withColumnRenamed("doc_id", "own_id").withColumnRenamed("text_key", "own_key")
     )
-    base = scanned.select(
-        "doc_id", F.xxhash64("low").alias("text_key"),
-        F.size("words").cast("long").alias("n_words"), F.size("places").cast("long").alias("n_base"),
+    base = read.select(
+        "doc_id", "text_key", "n_words", F.size("places").cast("long").alias("n_base"),
         F.array_min("places.start").cast("long").alias("first_word"),
         F.array_max("places.start").cast("long").alias("last_word"),
         F.array_distinct("places.label").alias("base"),
