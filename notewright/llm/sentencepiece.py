@@ -6,7 +6,7 @@ a path built from the end backwards, so A-star search with it as heuristic takes
 queue in the order of their full scores: the first N complete ones are the N best.
 
 No piece holds the space mark after another character, so no edge crosses the place before a space
-mark, and the lattice falls apart into chunks there. Chunks are solved once each and remembered;
+mark, and the lattice falls apart into chunks there. Distinct chunks are solved once in a batch;
 the N best of a text are found by the same search over its chunks, of which only the N - 1 with the
 cheapest second choices can differ from the best path.
 
@@ -20,7 +20,6 @@ import bisect
 import heapq
 import itertools
 import math
-import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -33,8 +32,7 @@ SPACE = "▁"
 _OWN_MARK = "\udc81"  # stands for a space mark that the text itself holds; no text can hold this
 N_BEST = 3
 UNKNOWN_PENALTY = 10.0  # below the least score of a piece, as the library does it
-_LONGEST_CHUNK = 200  # remembered; longer ones are solved each time
-_MOST_CHUNKS = 400_000  # remembered at a time in a task
+WIDTHS = (4, 7, 10, 14, 20, 32, 64)  # chunks are solved together up to these lengths
 
 Path = tuple[float, tuple[int, ...]]
 
@@ -75,6 +73,9 @@ class Vocabulary:
             raise ValueError("the model needs byte pieces, for characters that it doesn't know")
         return cls(pieces, byte_ids)
 
+    def tree(self) -> Tree:
+        return Tree(self.pieces)
+
     def spell(self, character: str) -> tuple[int, ...]:
         return tuple(self.byte_ids[b] for b in character.replace(_OWN_MARK, SPACE).encode())
 
@@ -179,6 +180,112 @@ def _grown(vocabulary: Vocabulary, tail: tuple, edge: tuple[float, int, int], ch
     return tail + vocabulary.spell(chunk[edge[1]])[::-1]
 
 
+class Tree:
+    """The pieces as a tree of characters in arrays, walked for many places at a time.
+
+    step[slot] leads from (node, character) to a node, found by open addressing.
+    """
+
+    def __init__(self, pieces: dict[str, tuple[int, float]]):
+        nodes = {"": 0}
+        for piece in pieces:
+            for k in range(1, len(piece) + 1):
+                nodes.setdefault(piece[:k], len(nodes))
+        self.ids = np.full(len(nodes), -1, dtype=np.int64)
+        self.scores = np.zeros(len(nodes))
+        for piece, (i, score) in pieces.items():
+            self.ids[nodes[piece]], self.scores[nodes[piece]] = i, score
+        self.bits = max(4, int(2 * len(nodes)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
+        self.next = np.full(1 << self.bits, -1, dtype=np.int64)
+        inner = [(nodes[p[:-1]], ord(p[-1]), n) for p, n in nodes.items() if p]
+        key = np.array([(node << 21) | c for node, c, _ in inner], dtype=np.int64)
+        for k, slot, (_, _, to) in zip(key.tolist(), self._slot(key).tolist(), inner, strict=True):
+            while self.keys[slot] >= 0:
+                slot = (slot + 1) & (len(self.keys) - 1)
+            self.keys[slot], self.next[slot] = k, to
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        mixed = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def walk(self, node: np.ndarray, character: np.ndarray) -> np.ndarray:
+        """The nodes reached, -1 where there is none."""
+        key = (node << 21) | character
+        slot = self._slot(key)
+        at = self.keys[slot]
+        out = np.where(at == key, self.next[slot], -1)
+        open_ = np.flatnonzero((at != key) & (at >= 0))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & (len(self.keys) - 1)
+            at = self.keys[slot[open_]]
+            hit = at == key[open_]
+            out[open_[hit]] = self.next[slot[open_[hit]]]
+            open_ = open_[~hit & (at >= 0)]
+        return out
+
+    def solve(self, chunks: list[str], unknown: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """best_and_next for many chunks: flat ids, number of ids, scores and losses of chunks.
+
+        A character without a piece has -2 minus its code point in place of an id.
+        """
+        size = np.array([len(c) for c in chunks])
+        width, n = int(size.max()), len(chunks)
+        point = np.frombuffer("".join(c.ljust(width, "\0") for c in chunks).encode("utf-32-le", "surrogatepass"),
+                              dtype="<u4").astype(np.int64).reshape(n, width)
+        best = np.full((width + 1, n), -np.inf)
+        second = np.full((width + 1, n), -np.inf)
+        back = np.zeros((width + 1, n), dtype=np.int64)
+        came = np.zeros((width + 1, n), dtype=np.int64)
+        best[0] = 0.0
+
+        def relax(rows: np.ndarray, start: int, end: int, score: np.ndarray, i: np.ndarray) -> None:
+            now = best[end, rows]
+            more = score > now
+            second[end, rows] = np.where(more, now, np.maximum(second[end, rows], score))
+            won = rows[more]
+            best[end, won], back[end, won], came[end, won] = score[more], start, i[more]
+
+        for start in range(width):
+            rows = np.flatnonzero(size > start)
+            here = best[start]
+            node = np.zeros(len(rows), dtype=np.int64)
+            single = np.zeros(n, dtype=bool)
+            for end in range(start + 1, width + 1):
+                inside = size[rows] >= end
+                rows, node = rows[inside], node[inside]
+                node = self.walk(node, point[rows, end - 1])
+                alive = node >= 0
+                rows, node = rows[alive], node[alive]
+                if not len(rows):
+                    break
+                piece = self.ids[node]
+                is_piece = piece >= 0
+                hit = rows[is_piece]
+                relax(hit, start, end, here[hit] + self.scores[node[is_piece]], piece[is_piece])
+                if end == start + 1:
+                    single[hit] = True
+            rows = np.flatnonzero((size > start) & ~single)
+            if len(rows):
+                relax(rows, start, start + 1, here[rows] + unknown, -2 - point[rows, start])
+
+        everyone = np.arange(n)
+        place, rows, loss = size.copy(), everyone, np.full(n, np.inf)
+        steps = []
+        while len(rows):
+            at = place[rows]
+            loss[rows] = np.minimum(loss[rows], best[at, rows] - second[at, rows])
+            steps.append((rows, came[at, rows]))
+            place[rows] = back[at, rows]
+            rows = rows[place[rows] > 0]
+        many = np.bincount(np.concatenate([r for r, _ in steps]), minlength=n)
+        ends = np.cumsum(many)
+        flat = np.zeros(int(ends[-1]), dtype=np.int64)
+        for k, (rows, ids) in enumerate(steps):
+            flat[ends[rows] - 1 - k] = ids
+        return flat, many, best[size, everyone], loss
+
+
 def chunks_of(text: str) -> list[str]:
     """The chunks of a text with its prefix space, each without its first space mark.
 
@@ -202,58 +309,117 @@ def chunks_of(text: str) -> list[str]:
 
 
 class Encoder:
-    """Encodes texts; remembers the chunks it has solved."""
+    """Encodes texts, many at a time; every distinct chunk of them is solved once."""
 
     def __init__(self, vocabulary: Vocabulary, n: int = N_BEST):
-        self.vocabulary, self.n = vocabulary, n
-        self.seen: dict[str, tuple] = {}
-
-    def _solve(self, chunk: str) -> tuple[bytes, float, float]:
-        """Packed best ids, best score, loss of the second choice of a chunk."""
-        ids, score, loss = best_and_next(self.vocabulary, SPACE + chunk)
-        solved = (struct.pack(f"<{len(ids)}i", *ids), score, loss)
-        if len(chunk) <= _LONGEST_CHUNK:
-            if len(self.seen) >= _MOST_CHUNKS:
-                self.seen.clear()
-            self.seen[chunk] = solved
-        return solved
-
-    def encode(self, text: str) -> tuple[np.ndarray, list[float], list[dict[int, tuple[int, ...]]], list[str]]:
-        """Ids of the best path; of the n best: scores, and other ids by chunk; the chunks."""
-        chunks = chunks_of(text)
-        solved = list(map(self.seen.get, chunks))
-        if None in solved:
-            solved = [s or self.seen.get(c) or self._solve(c) for s, c in zip(solved, chunks, strict=True)]
-        ids = np.frombuffer(b"".join([s[0] for s in solved]), dtype="<i4")
-        top = math.fsum([s[1] for s in solved])
-        # only the n - 1 chunks of least loss can differ from the best; of equal ones the first
-        losses = np.array([s[2] for s in solved])
+        self.vocabulary, self.n, self.tree = vocabulary, n, vocabulary.tree()
+
+    def _solve(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Flat best ids, number of ids, best score, loss of the second choice, of all chunks."""
+        marked = [SPACE + c for c in chunks]
+        size = np.array([len(c) for c in marked])
+        flats, rows, counts = [], [], np.zeros(len(marked), dtype=np.int64)
+        scores, losses = np.zeros(len(marked)), np.zeros(len(marked))
+        low = 0
+        for high in (*WIDTHS, 1 << 60):
+            at = np.flatnonzero((size > low) & (size <= high))
+            low = high
+            if not len(at):
+                continue
+            if high in WIDTHS:
+                flat, many, scores[at], losses[at] = self.tree.solve(
+                    [marked[i] for i in at], self.vocabulary.unknown)
+            else:  # few, and too long for a table
+                found = [best_and_next(self.vocabulary, marked[i]) for i in at]
+                flat = np.concatenate([np.array(f[0], dtype=np.int64) for f in found])
+                many = np.array([len(f[0]) for f in found])
+                scores[at], losses[at] = [f[1] for f in found], [f[2] for f in found]
+            flat, many = self._spelled(flat, many)
+            counts[at] = many
+            flats.append(flat)
+            rows.append(at)
+        start = np.zeros(len(marked), dtype=np.int64)
+        order = np.concatenate(rows)
+        start[order] = np.cumsum(counts[order]) - counts[order]
+        return _gather(np.concatenate(flats), start, counts), counts, scores, losses
+
+    def _spelled(self, flat: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """With byte ids in place of the characters that have no piece."""
+        unknown = np.unique(flat[flat < 0])
+        if not len(unknown):
+            return flat, many
+        owner = np.repeat(np.arange(len(many)), many)
+        width = np.ones(len(flat), dtype=np.int64)
+        spelled = {int(u): self.vocabulary.spell(chr(-2 - int(u))) for u in unknown}
+        for u, ids in spelled.items():
+            width[flat == u] = len(ids)
+        start = np.cumsum(width) - width
+        out = np.repeat(flat, width)
+        for u, ids in spelled.items():
+            for k, i in enumerate(ids):
+                out[start[flat == u] + k] = i
+        return out, np.bincount(owner, weights=width, minlength=len(many)).astype(np.int64)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[list[float]], list[list[dict]]]:
+        """Of texts: flat ids of the best paths, number of ids, and of the n best paths the scores
+        and what they change, as ids by chunk.
+        """
+        index: dict[str, int] = {}
+        name = index.setdefault
+        lists = [chunks_of(t) for t in texts]
+        code = np.array([name(c, len(index)) for chunks in lists for c in chunks], dtype=np.int64)
+        if not len(code):
+            return np.zeros(0, np.int64), np.zeros(len(texts), np.int64), [[0.0] for _ in texts], [[{}] for _ in texts]
+        flat, many, score, loss = self._solve(list(index))
+        start = np.cumsum(many) - many
+        ids = _gather(flat, start[code], many[code])
+        ends = np.cumsum([len(c) for c in lists])
+        total = np.concatenate(([0], np.cumsum(many[code])))
+        counts = np.diff(total[np.concatenate(([0], ends))])
+        scores, changes = [], []
+        for chunks, end in zip(lists, ends.tolist(), strict=True):
+            own = code[end - len(chunks):end]
+            found, changed = self._ranked(chunks, math.fsum(score[own]), loss[own])
+            scores.append(found)
+            changes.append(changed)
+        return ids, counts, scores, changes
+
+    def _ranked(self, chunks: list[str], top: float, losses: np.ndarray) -> tuple[list[float], list[dict]]:
+        """Scores and changes of the n best paths, best first.
+
+        Only the n - 1 chunks of least loss can differ from the best; of equal ones the first.
+        """
         if len(losses) > self.n:
-            bound = np.partition(losses, self.n - 1)[self.n - 1]
-            losses = np.where(losses <= bound, losses, np.inf)
+            losses = np.where(losses <= np.partition(losses, self.n - 1)[self.n - 1], losses, np.inf)
         free = np.flatnonzero(losses < np.inf)
         free = sorted(free[np.argsort(losses[free], kind="stable")[: self.n - 1]].tolist())
         paths = [n_best(self.vocabulary, SPACE + chunks[i], self.n) for i in free]
-        queue, found, choices = [(0.0, (), 0)], [], []
+        queue, found, changes = [(0.0, (), 0)], [], []
         while queue and len(found) < self.n:
             loss, chosen, place = heapq.heappop(queue)
             if place == len(free):
                 found.append(top - loss)
-                choices.append({free[i]: paths[i][k][1] for i, k in enumerate(chosen) if k})
+                changes.append({free[i]: paths[i][k][1] for i, k in enumerate(chosen) if k})
                 continue
             first = paths[place][0][0]
             for k, (score, _) in enumerate(paths[place]):
                 heapq.heappush(queue, (loss + first - score, (*chosen, k), place + 1))
-        return ids, found, choices, chunks
+        return found, changes
 
     def paths(self, text: str) -> list[Path]:
         """The n best segmentations of a whole text, best first. An empty text has one, without ids."""
-        _, scores, choices, chunks = self.encode(text)
-        best = [best_and_next(self.vocabulary, SPACE + c)[0] for c in chunks]
+        _, _, scores, changes = self.encode([text])
+        best = [best_and_next(self.vocabulary, SPACE + c)[0] for c in chunks_of(text)]
         return [
-            (score, tuple(itertools.chain.from_iterable(
-                other.get(i, ids) for i, ids in enumerate(best))))
-            for score, other in zip(scores, choices, strict=True)]
+            (score, tuple(itertools.chain.from_iterable(changed.get(i, ids) for i, ids in enumerate(best))))
+            for score, changed in zip(scores[0], changes[0], strict=True)]
+
+
+def _gather(flat: np.ndarray, start: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The stretches of flat that start at `start` and hold `many` values, one after another."""
+    total = int(many.sum())
+    shift = np.repeat(start - (np.cumsum(many) - many), many)
+    return flat[np.arange(total) + shift]
 
 
 def decode_ids(vocabulary: Vocabulary, ids: Iterable[int]) -> str:
@@ -279,13 +445,12 @@ def encode(docs: DataFrame, model_file: str, n: int = N_BEST) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Vocabulary(*shared.value), n)
         for batch in batches:
-            done = [encoder.encode(text)[:2] for text in batch.column("text").to_pylist()]
-            ids = [d[0] for d in done]
-            offsets = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
-            flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
+            ids, counts, scores, _ = encoder.encode(batch.column("text").to_pylist())
+            offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), flat),
-                 pa.array([d[1] for d in done], pa.list_(pa.float64()))],
+                [batch.column("doc_id"),
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32))),
+                 pa.array(scores, pa.list_(pa.float64()))],
                 ["doc_id", "ids", "n_best_scores"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
