@@ -84,7 +84,73 @@ QUERIES = {
 }
 
 
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _licence_sql() -> str:
+    words = "regexp_extract_all({}, '" + license_scan.WORD + "')"
+    quoted = lambda s: "'" + s + "'"
+    places = " union all ".join(
+        f"select doc_id, i, {quoted(label)} as label from w, unnest(range(len(ws))) as r(i) where "
+        + " and ".join(f"ws[i + {k + 1}] = {quoted(word)}" for k, word in enumerate(phrase.split()))
+        for phrase, label in license_scan.PHRASES.items())
+    templates = ", ".join(
+        f"({quoted(label)}, list_distinct({words.format('lower(' + quoted(text) + ')')}))"
+        for label, text in license_scan.TEMPLATES.items())
+    return rf"""
+        with d as (select doc_id, {_LOW} as low from documents),
+        w as (select doc_id, low, {words.format('low')} as ws from d),
+        places as ({places}),
+        base as (select doc_id, count(*) as n, min(i) as first_word, max(i) as last_word,
+                        string_agg(distinct label, ',' order by label) as base_labels from places group by 1),
+        templates(label, tw) as (values {templates}),
+        lines as (select doc_id, {words.format('line')} as lw
+                  from d, unnest(string_split(low, chr(10))) as u(line)),
+        own as (select doc_id, label, max(len(list_intersect(tw, lw)) / len(tw)) as share
+                from lines, templates where len(list_intersect(tw, lw)) >= {license_scan.THRESHOLD} * len(tw) - 1e-9
+                group by 1, 2),
+        best as (select doc_id, max(share) as share from own group by 1),
+        every as (select doc_id, string_agg(distinct label, ',' order by label) as labels
+                  from (select doc_id, label from own union all select doc_id, label from places) group by 1)
+        select doc_id, len(ws)::bigint as n_words, coalesce(n, 0)::bigint as n_base, first_word::bigint as first_word,
+               last_word::bigint as last_word, coalesce(base_labels, '') as base_labels,
+               coalesce(labels, '') as labels,
+               case when n > 0 then 1.0::double else coalesce(share, 0)::double end as score
+        from w left join base using (doc_id) left join every using (doc_id) left join best using (doc_id)"""
+
+
 ORACLES = {
+    "op4_line_dedup": rf"""
+        with l as (
+          select doc_id, pos, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') as ws
+          from (select doc_id, unnest(string_split(text, chr(10))) as line,
+                       generate_subscripts(string_split(text, chr(10)), 1) as pos from documents)),
+        s as (
+          select doc_id, pos, len(ws) as n, array_to_string(ws, ' ') as norm,
+                 row_number() over (partition by doc_id order by pos) as k,
+                 sum(len(ws)) over (partition by doc_id order by pos) as upto
+          from l where len(ws) > 0),
+        spans as (
+          select a.doc_id, a.k as b, min(z.k) as e from s a join s z
+            on a.doc_id = z.doc_id and z.k >= a.k and z.upto - a.upto + a.n >= {line_dedup.MIN_WORDS} group by all
+          union
+          select z.doc_id, max(a.k) as b, z.k as e from s a join s z
+            on a.doc_id = z.doc_id and z.k >= a.k and z.upto - a.upto + a.n >= {line_dedup.MIN_WORDS} group by all),
+        content as (
+          select p.doc_id, p.b, p.e, string_agg(x.norm, chr(10) order by x.k) as c
+          from spans p join s x on x.doc_id = p.doc_id and x.k between p.b and p.e group by all),
+        later as (select * from content qualify row_number() over (partition by c order by doc_id, b) > 1),
+        gone as (select distinct x.doc_id, x.pos, x.n from later p join s x
+                 on x.doc_id = p.doc_id and x.k between p.b and p.e),
+        kept as (select l.doc_id, string_agg(line, chr(10) order by pos) as text
+                 from l anti join gone using (doc_id, pos) group by 1),
+        counts as (select doc_id, count(*) as n_lines from s group by 1),
+        cut as (select doc_id, count(*) as n_removed, sum(n) as words from gone group by 1)
+        select d.doc_id, coalesce(n_lines, 0)::bigint as n_lines, coalesce(n_removed, 0)::bigint as n_removed,
+               coalesce(words, 0)::bigint as words_removed,
+               case when d.text is not null then sha256(coalesce(kept.text, '')) end as text_sha256
+        from documents d left join counts using (doc_id) left join cut using (doc_id) left join kept using (doc_id)""",
+    "op6_license_scan": _licence_sql(),
     "op7_exact_dedup": r"""
         with d as (select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g'))
                             as text_sha256 from documents),
