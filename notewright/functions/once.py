@@ -6,26 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def once(c: Column) -> Column:
-    """The same values, computed in the projection this stands in and nowhere else.
-
-    A filter on a derived column is pushed below the projection that derives it, with the
-    column's whole expression in it: patterns would run twice, and in a chain in which each
-    step uses the last one several times the expression would multiply at every step. A
-    condition that is always true, but that the optimizer takes for nondeterministic, keeps
-    the filter above. Columns that nobody reads are still pruned.
-    """
-    return F.when(F.spark_partition_id() >= 0, c)
-
-
 def settled(df: DataFrame, *columns: str) -> DataFrame:
     """The same rows, with the named columns computed below this point only.
 
-    Where columns come from a chain of projections, each using the one before several times,
-    the optimizer must not look through the chain at all: a join on a column that depends on
-    it would be traced down and written out, doubling at every step. Passing a one-row
-    generator, the columns have no expression to trace. Everything named is computed, read or
-    not, so name what is needed.
+    A filter on a derived column is pushed below the projection that derives it, with the
+    column's whole expression in it, and a join on a column that comes from a chain of
+    projections is traced down and written out, doubling at every step. Passing a one-row
+    generator, the named columns have no expression to trace; filters on the other columns still
+    go through to the scan. Everything named is computed, read or not, so name what is needed.
     """
     others = [c for c in df.columns if c not in columns]
     row = F.struct(*[F.col(c).alias(c) for c in columns])

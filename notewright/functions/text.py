@@ -20,23 +20,68 @@ WHITESPACE = (
 
 
 def spark_regex(pattern: str, ignore_case: bool = False) -> str:
-    r"""Render a pattern so that ``\b \d \s`` are Unicode-aware in Spark.
+    r"""Render a pattern so that ``\b \d \s \w`` and their opposites are Unicode-aware in Spark.
 
-    A boundary in front of a literal or a digit is checked after that character has been seen.
-    The scan then fails on one comparison almost everywhere and looks behind only on a hit,
-    which takes half the time, or less, of a leading boundary.
+    Inside ``[...]`` the classes stand for their members; a boundary or an opposite class there is
+    refused.
+
+    A boundary in front of a literal or a digit that must be there is checked after that character
+    has been seen. The scan then fails on one comparison almost everywhere and looks behind only on
+    a hit, which takes half the time, or less, of a leading boundary.
     """
     head = re.match(r"\\b([A-Za-z0-9])(?![?*+{|])", pattern)
-    if head:
+    digit = re.match(r"\\b\\d(?![?*|])(?!\{(?:0|,))", pattern)
+    whole = not _has_top_level_choice(pattern)
+    if head and whole:
         literal = head.group(1)
         start, rest = f"{literal}(?<!{WORD}{literal})", pattern[head.end():]
-    elif pattern.startswith(r"\b\d"):
+    elif digit and whole:
         start, rest = f"(?={DIGIT})(?<!{WORD})", pattern[2:]
     else:
         start, rest = "", pattern
-    classes = {r"\b": _BOUNDARY, r"\d": DIGIT, r"\s": SPACE}
-    body = re.sub(r"\\.", lambda m: classes.get(m.group(), m.group()), rest, flags=re.S)
-    return ("(?iu)" if ignore_case else "") + start + body
+    return ("(?iu)" if ignore_case else "") + start + _with_classes(rest)
+
+
+_OUTSIDE = {
+    r"\b": _BOUNDARY, r"\B": f"(?!{_BOUNDARY})", r"\d": DIGIT, r"\s": SPACE, r"\w": WORD,
+    r"\D": r"\P{Nd}", r"\S": "[^" + SPACE[1:], r"\W": "[^" + WORD[1:],
+}
+_INSIDE = {r"\d": DIGIT, r"\s": SPACE[1:-1], r"\w": WORD[1:-1]}
+_TOKEN = re.compile(r"\\.|\[\^?\]?|\]|[^\\\[\]]+", re.S)
+
+
+def _with_classes(pattern: str) -> str:
+    out, inside = [], False
+    for token in _TOKEN.findall(pattern):
+        if token.startswith("["):
+            if inside:  # a plain character there, but special in Java
+                token = token.replace("[", r"\[")
+            else:
+                inside, token = True, token.replace("]", r"\]")
+        elif token == "]":
+            inside = False
+        elif token in _OUTSIDE:
+            if inside and token not in _INSIDE:
+                raise ValueError(f"{token} inside [...] has no counterpart: {pattern}")
+            token = _INSIDE[token] if inside else _OUTSIDE[token]
+        elif inside:  # intersections are Java's alone
+            token = token.replace("&&", r"&\&")
+        out.append(token)
+    return "".join(out)
+
+
+def _has_top_level_choice(pattern: str) -> bool:
+    depth, inside = 0, False
+    for token in re.findall(r"\\.|.", pattern, re.S):
+        if token == "[":
+            inside = True
+        elif token == "]":
+            inside = False
+        elif not inside and token in "()":
+            depth += 1 if token == "(" else -1
+        elif not inside and token == "|" and depth == 0:
+            return True
+    return False
 
 
 def quote_replacement(token: str) -> str:

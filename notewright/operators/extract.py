@@ -8,14 +8,14 @@ are parameters.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notewright import fixed_values as fv
-from notewright.functions.once import once
+from notewright.functions.once import settled
 from notewright.functions.text import (
     folded, may_match, null_if_empty, spark_regex, without_nulls,
 )
@@ -24,19 +24,27 @@ from notewright.schemas import BIOMARKER, FACT_COLUMNS
 Extractor = Callable[[DataFrame], DataFrame]
 
 
+@dataclass(frozen=True)
+class Pattern:
+    """A pattern and a text that every match contains, by which other notes are passed over."""
+
+    text: str
+    literal: str | None = None
+
+
 @dataclass(frozen=True)
 class ExtractionRules:
+    """What the rules look for. A pattern given as plain text has no literal."""
+
     keyword_groups: tuple = fv.KEYWORD_GROUPS
     biomarkers: tuple[str, ...] = fv.BIOMARKER_NAMES
     biomarker_status: str = fv.BIOMARKER_STATUS
     medications: tuple[str, ...] = fv.MEDICATIONS
-    t: str = fv.T_PATTERN
-    n: str = fv.N_PATTERN
-    m: str = fv.M_PATTERN
-    stage: str = fv.STAGE_PATTERN
-    stage_literal: str | None = "stage"
-    ecog: str = fv.ECOG_PATTERN
-    ecog_literal: str | None = "ECOG"
+    t: str | Pattern = fv.T_PATTERN
+    n: str | Pattern = fv.N_PATTERN
+    m: str | Pattern = fv.M_PATTERN
+    stage: str | Pattern = Pattern(fv.STAGE_PATTERN, "stage")
+    ecog: str | Pattern = Pattern(fv.ECOG_PATTERN, "ECOG")
 
 
 DEFAULT_RULES = ExtractionRules()
@@ -63,70 +71,78 @@ def listed_terms(lowered: Column, terms) -> Column:
     ]), "string")
 
 
-def rule_facts(notes: DataFrame, rules: ExtractionRules = DEFAULT_RULES) -> DataFrame:
-    """Facts of each note by rules. Narrow: one pass over the text, no shuffle.
+def rule_facts(notes: DataFrame, rules: ExtractionRules = DEFAULT_RULES,
+               fields: Sequence[str] = FACT_COLUMNS) -> DataFrame:
+    """The wanted facts of each note by rules. Narrow: one pass over the text, no shuffle.
 
-    The raw extracts get a step of their own so that each regular expression runs once per
-    note, though its result is tested and used.
+    The raw extracts are settled: each regular expression runs once per note, though its result
+    is tested and used, and a filter on the notes' own columns still reaches their scan. Settled
+    columns are computed whether they are read or not, so leave out of fields what is not wanted.
     """
     text, folded_text = F.col("text"), F.col("_folded")
 
-    def first_group(pattern: str, ignore_case: bool = False, literal: str | None = None) -> Column:
-        found = F.regexp_extract(text, spark_regex(pattern, ignore_case), 1)
-        return F.when(may_match(text, folded_text, literal, ignore_case), found).otherwise("")
+    def first_group(pattern: str | Pattern, ignore_case: bool = False) -> Column:
+        pattern = pattern if isinstance(pattern, Pattern) else Pattern(pattern)
+        found = F.regexp_extract(text, spark_regex(pattern.text, ignore_case), 1)
+        may = may_match(text, folded_text, pattern.literal, ignore_case)
+        return F.when(may, found).otherwise("")
 
     read = notes.select("note_id", "text").withColumns({
         "_lowered": F.lower(text),
         "_folded": folded(text),
     })
-    raw = {
-        "_t": first_group(rules.t),
-        "_n": first_group(rules.n),
-        "_m": first_group(rules.m),
-        "_stage": first_group(rules.stage, True, rules.stage_literal),
-        "_ecog": first_group(rules.ecog, True, rules.ecog_literal),
-    }
-    for i, name in enumerate(rules.biomarkers):
-        raw[f"_marker_{i}"] = first_group(re.escape(name) + rules.biomarker_status, True, name)
-    extracted = read.select(
-        "note_id",
-        once(classify(F.col("_lowered"), rules.keyword_groups)).alias("_class"),
-        once(listed_terms(F.col("_lowered"), rules.medications)).alias("medications"),
-        *[once(column).alias(name) for name, column in raw.items()],
-    )
-    markers = without_nulls(F.array(*[
-        # a status of dots alone is still a hit, with an empty status
-        F.when(F.col(f"_marker_{i}") != "", F.struct(
-            F.lit(name).alias("name"),
-            F.rtrim(F.col(f"_marker_{i}"), F.lit(".")).alias("status"),
-        ))
-        for i, name in enumerate(rules.biomarkers)
-    ]), BIOMARKER.simpleString())
+    raw: dict[str, Column] = {}
+    if {"primary_diagnosis", "primary_site", "histology"} & set(fields):
+        raw["_class"] = classify(F.col("_lowered"), rules.keyword_groups)
+    if "medications" in fields:
+        raw["_medications"] = listed_terms(F.col("_lowered"), rules.medications)
+    if "tnm_stage" in fields:
+        raw |= {"_t": first_group(rules.t), "_n": first_group(rules.n), "_m": first_group(rules.m),
+                "_stage": first_group(rules.stage, True)}
+    if "ecog_performance_status" in fields:
+        raw["_ecog"] = first_group(rules.ecog, True)
+    if "biomarkers" in fields:
+        for i, name in enumerate(rules.biomarkers):
+            raw[f"_marker_{i}"] = first_group(
+                Pattern(re.escape(name) + rules.biomarker_status, name), True)
+    extracted = settled(
+        read.select("note_id", *[c.alias(name) for name, c in raw.items()]), *raw)
+
+    def markers() -> Column:
+        return without_nulls(F.array(*[
+            # a status of dots alone is still a hit, with an empty status
+            F.when(F.col(f"_marker_{i}") != "", F.struct(
+                F.lit(name).alias("name"),
+                F.rtrim(F.col(f"_marker_{i}"), F.lit(".")).alias("status"),
+            ))
+            for i, name in enumerate(rules.biomarkers)
+        ]), BIOMARKER.simpleString())
 
     def category(letter: str, column: str) -> Column:
         return F.when(F.col(column) != "", F.concat(F.lit(letter), F.col(column)))
 
-    return extracted.select(
-        "note_id",
-        F.col("_class.primary_diagnosis").alias("primary_diagnosis"),
-        F.col("_class.primary_site").alias("primary_site"),
-        F.col("_class.histology").alias("histology"),
-        F.struct(
+    facts = {
+        "primary_diagnosis": lambda: F.col("_class.primary_diagnosis"),
+        "primary_site": lambda: F.col("_class.primary_site"),
+        "histology": lambda: F.col("_class.histology"),
+        "tnm_stage": lambda: F.struct(
             category("T", "_t").alias("t"), category("N", "_n").alias("n"),
             category("M", "_m").alias("m"),
-            F.upper(null_if_empty(F.col("_stage"))).alias("overall_stage"),
-        ).alias("tnm_stage"),
-        markers.alias("biomarkers"),
-        "medications",
-        null_if_empty(F.col("_ecog")).cast("int").alias("ecog_performance_status"),
-    )
+            F.upper(null_if_empty(F.col("_stage"))).alias("overall_stage")),
+        "biomarkers": markers,
+        "medications": lambda: F.col("_medications"),
+        "ecog_performance_status": lambda: null_if_empty(F.col("_ecog")).cast("int"),
+    }
+    return extracted.select(
+        "note_id", *[build().alias(name) for name, build in facts.items() if name in fields])
 
 
 def extract(notes: DataFrame, extractor: Extractor = rule_facts,
             method: str = fv.METHOD_RULES) -> DataFrame:
     """Predictions: ``note_id``, the ``method`` tag and the facts of an extractor."""
     facts = extractor(notes)
-    return facts.select("note_id", F.lit(method).alias("method"), *FACT_COLUMNS)
+    return facts.select("note_id", F.lit(method).alias("method"),
+                        *[c for c in FACT_COLUMNS if c in facts.columns])
 
 
 def _any(conditions) -> Column:

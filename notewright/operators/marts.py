@@ -76,18 +76,22 @@ def marker_cases(biomarkers: DataFrame, site: str, name: str, status: str) -> Da
     ).agg(F.count_distinct("note_id").alias("cases"))
 
 
-def treated_cohort(fct: DataFrame, biomarkers: DataFrame, staged: DataFrame, site: str,
-                   stage_prefix: str, name: str, status: str, medication: str) -> DataFrame:
+def treated_cohort(fct: DataFrame, staged: DataFrame, site: str, stage_prefix: str, name: str,
+                   status: str, medication: str) -> DataFrame:
     """Facts of notes of a site and stage, with a biomarker of a status, on a medication.
 
-    Each side is filtered to the cohort's own rows before the semi joins.
+    All evidence for a row comes from its own run: markers and medications are read from staging,
+    which knows the run, and joined on note and run. Each side is filtered to the cohort's own
+    rows before the semi joins.
     """
     facts = fct.where((F.col("primary_site") == site)
                       & F.col("overall_stage").startswith(stage_prefix))
-    marked = biomarkers.where(
-        (F.col("primary_site") == site) & (F.col("biomarker_name") == name)
-        & (F.col("biomarker_status") == status))
-    on_drug = staged.where((F.col("primary_site") == site) & F.array_contains(
+    own = staged.where(F.col("primary_site") == site)
+    text = lambda m, part: F.try_variant_get(m, f"$.{part}", "string")
+    markers = F.try_variant_get("biomarkers", "$", "array<variant>")
+    marked = own.where(F.exists(
+        markers, lambda m: (text(m, "name") == name) & (text(m, "status") == status)))
+    on_drug = own.where(F.array_contains(
         F.try_variant_get("medications", "$", "array<string>"), medication))
-    return (facts.join(marked, "note_id", "left_semi")
+    return (facts.join(marked, ["note_id", "run_id"], "left_semi")
             .join(on_drug, ["note_id", "run_id"], "left_semi"))

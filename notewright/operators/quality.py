@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from notewright import fixed_values as fv
 from notewright.functions.ratios import ratio
@@ -37,6 +38,13 @@ def leaks_identifier(text: Column, patterns=fv.LEAK_PATTERNS) -> Column:
     return result
 
 
+def _as_text(predictions: DataFrame, column: str, part: str = "") -> Column:
+    """A fact, or a part of it, as text, whether it is typed or came whole from a model."""
+    if isinstance(predictions.schema[column].dataType, T.VariantType):
+        return F.try_variant_get(column, "$" + part, "string")
+    return F.col(column + part)
+
+
 def gate_verdict(
     predictions: DataFrame,
     notes: DataFrame,
@@ -47,9 +55,12 @@ def gate_verdict(
 
     An empty site counts as unfilled. A stage may be null or one of the valid ones; the
     sample names the first three offenders by id. One aggregate runs over the predictions
-    and one over the notes; the sample is a distributed top-3.
+    and one over the notes; the sample, a distributed top-3, reads the predictions' ids and stages
+    again. Give it tables that were written, as :func:`notewright.plans.batch.run_batch` does, or
+    redaction and extraction run once for each of the three.
     """
-    stage, site = F.col("tnm_stage.overall_stage"), F.col("primary_site")
+    stage = _as_text(predictions, "tnm_stage", ".overall_stage")
+    site = _as_text(predictions, "primary_site")
     bad_stage = F.coalesce(~stage.isin(list(valid_stages)), F.lit(False))
     filled, rows = F.count_if(F.coalesce(site != "", F.lit(False))), F.count(F.lit(1))
     over_predictions = predictions.agg(

@@ -14,38 +14,51 @@ from notewright.functions.text import strip
 from notewright.schemas import BIOMARKER, TNM
 
 MICRO = "MICRO-AVG"
-_EXACT = "decimal(38,10)"
+_WHOLE = "decimal(38,0)"
 
 
 def normalised(c: Column) -> Column:
     return F.lower(strip(c))
 
 
+def _number(c: Column) -> Column:
+    """A number as text that is equal for equal numbers of any type: whole ones by their digits,
+    others as doubles."""
+    double = c.cast("double")
+    whole = (F.abs(double) < 1e37) & (double == F.rint(double))
+    return F.concat(F.lit("n:"), F.when(whole, c.try_cast(_WHOLE).cast("string"))
+                    .otherwise(double.cast("string")))
+
+
 def comparable(c: Column, data_type: T.DataType) -> Column:
     """A scalar as text that is equal only for equal values.
 
     Strings compare trimmed and in lower case, numbers as numbers, and a string never equals
     a number. For a VARIANT the type of each value decides.
     """
-    def number(value: Column) -> Column:
-        return F.concat(F.lit("n:"), value.cast("string"))
-
     if isinstance(data_type, T.StringType):
         return F.concat(F.lit("s:"), normalised(c))
     if isinstance(data_type, T.BooleanType):
-        return number(c.cast("int").cast(_EXACT))
+        return F.concat(F.lit("n:"), c.cast("int").cast("string"))
     if isinstance(data_type, T.VariantType):
         kind = F.schema_of_variant(c)
+        exact = F.try_variant_get(c, "$", _WHOLE)
+        double = F.try_variant_get(c, "$", "double")
         return (
             F.when(c.isNull() | F.is_variant_null(c), F.lit(None))
             .when(kind == "STRING",
                   F.concat(F.lit("s:"), normalised(F.try_variant_get(c, "$", "string"))))
-            .otherwise(F.coalesce(
-                number(F.try_variant_get(c, "$", _EXACT)),
-                F.concat(F.lit("j:"), F.to_json(c)),
-            ))
+            .when(kind == "BOOLEAN", F.concat(
+                F.lit("n:"), F.try_variant_get(c, "$", "boolean").cast("int").cast("string")))
+            .when(kind.isin("BIGINT", "INT", "SMALLINT", "TINYINT"),
+                  F.concat(F.lit("n:"), exact.cast("string")))
+            .when(double.isNotNull() & ((kind == "DOUBLE") | kind.startswith("DECIMAL")),
+                  _number(double))
+            .otherwise(F.concat(F.lit("j:"), F.to_json(c)))
         )
-    return F.coalesce(number(c.try_cast(_EXACT)), number(c.cast("string")))
+    if isinstance(data_type, T.IntegralType):
+        return F.concat(F.lit("n:"), c.cast("string"))
+    return _number(c)
 
 
 @dataclass(frozen=True)
@@ -58,26 +71,51 @@ class ScalarField:
 
 @dataclass(frozen=True)
 class SetField:
-    """Overlap of two sets; ``items`` turns the column into an array of comparable members."""
+    """Overlap of two sets; ``items`` turns the column, of a given type, into an array of
+    comparable members."""
 
     name: str
-    items: Callable[[Column], Column]
+    items: Callable[[Column, T.DataType], Column]
+
 
+_TEXT, _VARIANT = T.StringType(), T.VariantType()
 
-def marker_items(c: Column) -> Column:
-    return F.transform(c, lambda m: F.struct(*[
-        normalised(m[part]).alias(part) for part in BIOMARKER.fieldNames()
-    ]))
 
+def marker_items(c: Column, data_type: T.DataType) -> Column:
+    """(name, status) pairs; in a VARIANT, a member that is no object is a name of its own kind."""
+    if not isinstance(data_type, T.VariantType):
+        return F.transform(c, lambda m: F.struct(*[
+            comparable(m[part], _TEXT).alias(part) for part in BIOMARKER.fieldNames()
+        ]))
 
-def term_items(c: Column) -> Column:
-    return F.transform(c, normalised)
+    def pair(m: Column) -> Column:
+        name, status = (
+            comparable(F.try_variant_get(m, f"$.{part}", "variant"), _VARIANT)
+            for part in BIOMARKER.fieldNames())
+        is_object = F.startswith(F.schema_of_variant(m), F.lit("OBJECT"))
+        return F.struct(
+            F.when(is_object, name).otherwise(F.concat(F.lit("m:"), F.to_json(m))).alias("name"),
+            F.when(is_object, status).alias("status"))
 
+    return F.transform(F.try_variant_get(c, "$", "array<variant>"), pair)
 
-def stage_items(c: Column) -> Column:
+
+def term_items(c: Column, data_type: T.DataType) -> Column:
+    if isinstance(data_type, T.VariantType):
+        return F.transform(F.try_variant_get(c, "$", "array<variant>"),
+                           lambda m: comparable(m, _VARIANT))
+    return F.transform(c, lambda m: comparable(m, _TEXT))
+
+
+def stage_items(c: Column, data_type: T.DataType) -> Column:
     """The stated categories as (category, value) pairs."""
+    def value(part: str) -> Column:
+        if isinstance(data_type, T.VariantType):
+            return comparable(F.try_variant_get(c, f"$.{part}", "variant"), _VARIANT)
+        return comparable(c[part], _TEXT)
+
     pairs = F.array(*[
-        F.struct(F.lit(part).alias("part"), normalised(c[part]).alias("value"))
+        F.struct(F.lit(part).alias("part"), value(part).alias("value"))
         for part in TNM.fieldNames()
     ])
     return F.filter(pairs, lambda pair: pair["value"].isNotNull())
@@ -109,30 +147,32 @@ def last_record_wins(records: DataFrame, key: str, order: str) -> DataFrame:
 def keyed_once(records: DataFrame, key: str) -> DataFrame:
     """The same records, raising if a key repeats.
 
-    The window leaves the rows partitioned and sorted by the key, which is what the following
-    join needs anyway.
+    Each task sends one record and a count per key, however often the key repeats, and the rows
+    come out partitioned by the key, which is what the following join needs anyway.
     """
-    repeats = F.count(F.lit(1)).over(Window.partitionBy(key))
-    guarded = records.withColumn("_repeats", repeats).where(
+    kept = [c for c in records.columns if c != key]
+    single = records.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_repeats"), F.any_value(F.struct(*kept)).alias("_record"))
+    guarded = single.where(
         F.when(F.col("_repeats") == 1, True).otherwise(F.raise_error(F.concat(
             F.lit(f"{key} repeats and no order column says which record wins: "),
-            F.col(key).cast("string"))).cast("boolean")))
-    return guarded.drop("_repeats")
+            F.coalesce(F.col(key).cast("string"), F.lit("null")))).cast("boolean")))
+    return guarded.select(key, *[F.col("_record")[c].alias(c) for c in kept])
 
 
 def _prepared(frame: DataFrame, key: str, fields, order: str | None, prefix: str) -> DataFrame:
-    """Key and comparable columns of one side, one row per key."""
-    frame = frame.where(F.col(key).isNotNull())
-    wanted = [key, *[f.name for f in fields]]
+    """Key and comparable columns of one side, one row per key; a record without a key raises."""
+    required = F.coalesce(F.col(key), F.raise_error(F.lit(f"a record has no {key}"))).alias(key)
+    names = [f.name for f in fields]
     if order is not None and order in frame.columns:
-        frame = last_record_wins(frame.select(*wanted, order), key, order)
+        frame = last_record_wins(frame.select(required, *names, order), key, order)
     else:
-        frame = keyed_once(frame.select(*wanted), key)
+        frame = keyed_once(frame.select(required, *names), key)
     columns = []
     for i, field in enumerate(fields):
-        c = F.col(field.name)
-        value = (F.array_distinct(field.items(c)) if isinstance(field, SetField)
-                 else comparable(c, frame.schema[field.name].dataType))
+        c, kind = F.col(field.name), frame.schema[field.name].dataType
+        value = (F.array_distinct(field.items(c, kind)) if isinstance(field, SetField)
+                 else comparable(c, kind))
         columns.append(value.alias(f"{prefix}_{i}"))
     return frame.select(key, *columns)
 

@@ -7,47 +7,31 @@ broken.
 
 from __future__ import annotations
 
-from functools import wraps
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notewright.operators.deidentify import deidentify
 from notewright.operators.extract import extract
-from notewright.operators.render import draw, pick, render_notes
 from notewright.operators.responses import model_predictions
+from notewright.plans.note_fixture import draw, pick, render_notes
 from notewright.schemas import FACT_COLUMNS
 from notewright.session import spread
 
 RESPONSE_KINDS = (
     "plain", "plain", "plain", "fenced", "fenced_json", "prose", "tail", "ecog_text",
     "upper_case", "keys_left_out", "array", "two_objects", "no_response", "bad_domain",
+    "extra_members", "plain_member", "null_stage", "odd_text",
 )
 
 
-_PLANS: dict[tuple, DataFrame] = {}
-
-
-def _planned_once(build):
-    """Keep the plan (not the data) of an input, for queries that use it more than once."""
-    @wraps(build)
-    def planned(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, id(spark), sf_dir, build.__name__)
-        if key not in _PLANS:
-            _PLANS[key] = build(spark, sf_dir)
-        return _PLANS[key]
-    return planned
-
-
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
-@_planned_once
 def rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Notes with gold labels, one per order."""
-    keys = spread(table(spark, sf_dir, "orders", "o_orderkey"), "o_orderkey")
-    return render_notes(keys, "o_orderkey")
+    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    return render_notes(spread(orders, "o_orderkey"), "o_orderkey", "o_custkey", "o_orderdate")
 
 
 def raw_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,12 +42,10 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rendered(spark, sf_dir).select("note_id", *FACT_COLUMNS)
 
 
-@_planned_once
 def deidentified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deidentify(raw_notes(spark, sf_dir))
 
 
-@_planned_once
 def rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(deidentified(spark, sf_dir))
 
@@ -78,7 +60,6 @@ def note_key(note_id: Column) -> Column:
     return F.substring(note_id, len("NOTE-") + 1, 20).cast("bigint")
 
 
-@_planned_once
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A response table as it would come back from a model, some of it broken.
 
@@ -93,6 +74,10 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     def quoted(c: Column) -> Column:
         return F.coalesce(F.concat(F.lit('"'), c, F.lit('"')), F.lit("null"))
 
+    def diagnosis(c: Column) -> Column:
+        # outer blanks and a line end, escaped as JSON wants it
+        return F.when(is_kind["odd_text"], F.concat(F.lit('"  '), c, F.lit('\\nsecond line  "'))).otherwise(cased(c))
+
     def cased(c: Column) -> Column:
         return quoted(F.when(is_kind["upper_case"], F.upper(c)).otherwise(c))
 
@@ -102,16 +87,20 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     ecog = F.col("ecog_performance_status").cast("string")
     markers = F.array_join(F.transform("biomarkers", lambda m: F.concat(
         F.lit('{"name": '), quoted(m["name"]), F.lit(', "status": '), quoted(m["status"]),
+        F.when(is_kind["extra_members"], F.lit(', "method": "IHC"')).otherwise(""),
         F.lit("}"))), ", ")
+    plain = F.when(F.size("biomarkers") > 0, ', "PTEN"').otherwise('"PTEN"')
+    markers = F.concat(markers, F.when(is_kind["plain_member"], plain).otherwise(""))
     optional = F.when(is_kind["keys_left_out"], "").otherwise(F.concat(
         F.lit(', "histology": '), cased(F.col("histology")),
         F.lit(', "biomarkers": ['), markers, F.lit("]")))
     body = F.concat(
-        F.lit('{"primary_diagnosis": '), cased(F.col("primary_diagnosis")),
+        F.lit('{"primary_diagnosis": '), diagnosis(F.col("primary_diagnosis")),
         F.lit(', "primary_site": '), cased(site),
-        F.lit(', "tnm_stage": {"t": '), quoted(tnm["t"]), F.lit(', "n": '), quoted(tnm["n"]),
-        F.lit(', "m": '), quoted(tnm["m"]), F.lit(', "overall_stage": '), quoted(stage),
-        F.lit("}"), optional,
+        F.lit(', "tnm_stage": '), F.when(is_kind["null_stage"], F.lit("null")).otherwise(F.concat(
+            F.lit('{"t": '), quoted(tnm["t"]), F.lit(', "n": '), quoted(tnm["n"]),
+            F.lit(', "m": '), quoted(tnm["m"]), F.lit(', "overall_stage": '), quoted(stage),
+            F.lit("}"))), optional,
         F.lit(', "medications": ['),
         F.array_join(F.transform("medications", quoted), ", "),
         F.lit('], "ecog_performance_status": '),
@@ -148,7 +137,6 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_planned_once
 def responded_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One prediction per note from the response table, missing answers included."""
     return model_predictions(raw_notes(spark, sf_dir), responses(spark, sf_dir))

@@ -11,9 +11,10 @@ from __future__ import annotations
 import re
 
 from notewright import fixed_values as fv
-from notewright.operators.render import HASH_MODULUS, KEY_MODULUS, MULTIPLIERS
 from notewright.operators.responses import DEFAULT_INSTRUCTIONS
+from notewright.plans import note_values as nv
 from notewright.plans.corpus import RESPONSE_KINDS
+from notewright.plans.note_fixture import HASH_MODULUS, KEY_MODULUS, MULTIPLIERS
 from notewright.plans.queries import EMAIL_RULE, LOADED_AT, MODEL_RUN, RULE_RUN
 from notewright.schemas import facts_json_schema
 
@@ -35,7 +36,7 @@ def _pick(slot: str, values) -> str:
 
 
 def _stating(slot: str) -> str:
-    return ", ".join(str(i) for i, t in enumerate(fv.NOTE_TEMPLATES) if f"{{{slot}}}" in t)
+    return ", ".join(str(i) for i, t in enumerate(nv.NOTE_TEMPLATES) if f"{{{slot}}}" in t)
 
 
 def _filled(template: str) -> str:
@@ -48,17 +49,17 @@ _CANCERS = ",\n".join(
     "({}, {}, {}, {}, {}, [{}], {})".format(
         i, _s(diagnosis), _list(wordings), _s(site), _s(histology),
         ", ".join(f"{{'name': {_s(n)}, 'statuses': {_list(s)}}}" for n, s in pool), _list(drugs))
-    for i, (diagnosis, wordings, site, histology, pool, drugs) in enumerate(fv.CANCERS)
+    for i, (diagnosis, wordings, site, histology, pool, drugs) in enumerate(nv.CANCERS)
 )
 
 NOTES = f"""
 cancers(cancer, diagnosis, wordings, site, hist, pool, drugs) AS (VALUES {_CANCERS}),
 drawn AS MATERIALIZED (
-  SELECT o_orderkey, 'NOTE-' || lpad(CAST(o_orderkey AS VARCHAR),
+  SELECT o_orderkey, o_custkey, o_orderdate, 'NOTE-' || lpad(CAST(o_orderkey AS VARCHAR),
            CAST(greatest(4, length(CAST(o_orderkey AS VARCHAR))) AS INTEGER), '0') AS note_id,
          c.*, {_draw('template')} % 4 AS template, {_draw('tnm_style')} % 100 AS style,
-         {_pick('t', fv.T_VALUES)} AS t, {_pick('n', fv.N_VALUES)} AS n,
-         {_pick('m', fv.M_VALUES)} AS m, {_pick('stage', fv.STAGE_VALUES)} AS stage,
+         {_pick('t', nv.T_VALUES)} AS t, {_pick('n', nv.N_VALUES)} AS n,
+         {_pick('m', nv.M_VALUES)} AS m, {_pick('stage', nv.STAGE_VALUES)} AS stage,
          {_draw('ecog')} % 4 AS x_ecog,
          1 + {_draw('marker_count')} % least(3, len(pool)) AS n_markers,
          {_draw('marker_start')} % len(pool) AS marker_start,
@@ -75,33 +76,31 @@ chosen AS MATERIALIZED (
 ),
 slots AS MATERIALIZED (
   SELECT *,
-    1000000 + ({_draw('mrn')} * 137) % 9000000 AS x_mrn,
-    lpad(CAST(1 + {_draw('month')} % 12 AS VARCHAR), 2, '0') || '/' ||
-      lpad(CAST(1 + {_draw('day')} % 28 AS VARCHAR), 2, '0') || '/2026' AS x_dos,
-    {_pick('provider', fv.PROVIDERS)} AS x_provider,
-    {_pick('first_name', fv.FIRST_NAMES)} || ' ' || {_pick('last_name', fv.LAST_NAMES)} AS x_name,
+    1000000 + o_custkey AS x_mrn, strftime(o_orderdate, '%m/%d/%Y') AS x_dos,
+    {_pick('provider', nv.PROVIDERS)} AS x_provider,
+    {_pick('first_name', nv.FIRST_NAMES)} || ' ' || {_pick('last_name', nv.LAST_NAMES)} AS x_name,
     38 + {_draw('age')} % 47 AS x_age,
     CASE site WHEN 'breast' THEN 'female' WHEN 'prostate' THEN 'male'
       ELSE {_pick('sex', ('male', 'female'))} END AS x_sex,
     wordings[1 + {_draw('wording')} % len(wordings)] AS x_dx,
-    CASE WHEN style < 40 THEN t || ' ' || n || ' ' || m || ', stage ' || stage
-         WHEN style < 70 THEN t || n || m || ' (stage ' || stage || ')'
+    CASE WHEN style < 33 THEN t || ' ' || n || ' ' || m || ', stage ' || stage
+         WHEN style < 66 THEN t || n || m || ' (stage ' || stage || ')'
          ELSE 'clinical stage ' || stage END AS x_tnm,
     array_to_string(list_transform(markers, lambda k, i: CASE
-      WHEN k.name = 'HER2' AND k.status = 'positive' AND (wording_draw + 37 * (i - 1)) % 100 < 50
+      WHEN k.name = 'HER2' AND k.status = 'positive' AND (wording_draw + 37 * (i - 1)) % 100 < 60
         THEN 'HER2 3+'
-      WHEN k.name = 'EGFR' AND k.status = 'mutated' AND (wording_draw + 37 * (i - 1)) % 100 < 50
+      WHEN k.name = 'EGFR' AND k.status = 'mutated' AND (wording_draw + 37 * (i - 1)) % 100 < 60
         THEN 'EGFR exon 19 deletion'
-      WHEN (wording_draw + 37 * (i - 1)) % 100 < 30 THEN k.name || '(' || k.status || ')'
+      WHEN (wording_draw + 37 * (i - 1)) % 100 < 25 THEN k.name || '(' || k.status || ')'
       ELSE k.name || ' ' || k.status END), ', ') AS x_bio,
     array_to_string(meds, ', ') AS x_meds
   FROM chosen
 ),
 notes AS MATERIALIZED (
-  SELECT o_orderkey, note_id, {_filled(f"({_list(fv.NOTE_TEMPLATES)})[1 + template]")} AS text,
+  SELECT o_orderkey, note_id, {_filled(f"({_list(nv.NOTE_TEMPLATES)})[1 + template]")} AS text,
     diagnosis AS primary_diagnosis, site AS primary_site, hist AS histology,
-    CASE WHEN style < 70 THEN t END AS t, CASE WHEN style < 70 THEN n END AS n,
-    CASE WHEN style < 70 THEN m END AS m, stage AS overall_stage,
+    CASE WHEN style < 66 THEN t END AS t, CASE WHEN style < 66 THEN n END AS n,
+    CASE WHEN style < 66 THEN m END AS m, stage AS overall_stage,
     CASE WHEN template IN ({_stating('bio')}) THEN markers ELSE [] END AS markers,
     CASE WHEN template IN ({_stating('meds')}) THEN list_sort(meds) ELSE [] END AS meds,
     CASE WHEN template IN ({_stating('ecog')}) THEN CAST(x_ecog AS INTEGER) END AS ecog
@@ -174,7 +173,7 @@ _DEID = f"{NOTES},\n{_redacted('notes', 'note_id')}"
 _RULES = f"{_DEID},\n{_facts('deid')}"
 
 _VALID_KINDS = ("plain", "fenced", "fenced_json", "ecog_text", "upper_case", "keys_left_out",
-                "bad_domain")
+                "bad_domain", "extra_members", "plain_member", "null_stage", "odd_text")
 _KIND = f"({_list(RESPONSE_KINDS)})[1 + {_draw('response')} % {len(RESPONSE_KINDS)}]"
 
 # what a prediction must be, by the way its response is written; ecog is its JSON text
@@ -182,37 +181,46 @@ _MODEL = f"""kinds AS MATERIALIZED (SELECT *, {_KIND} AS kind FROM notes),
 model AS MATERIALIZED (
   SELECT note_id, CASE WHEN ok THEN 'claude' ELSE 'claude_error' END AS method,
     CASE WHEN ok THEN CASE kind WHEN 'upper_case' THEN upper(primary_diagnosis)
+      WHEN 'odd_text' THEN '  ' || primary_diagnosis || chr(10) || 'second line  '
       ELSE primary_diagnosis END END AS primary_diagnosis,
     CASE WHEN ok THEN CASE kind WHEN 'upper_case' THEN upper(primary_site)
       WHEN 'bad_domain' THEN '' ELSE primary_site END END AS primary_site,
     CASE WHEN ok AND kind <> 'keys_left_out' THEN CASE kind WHEN 'upper_case'
       THEN upper(histology) ELSE histology END END AS histology,
-    CASE WHEN ok THEN t END AS t, CASE WHEN ok THEN n END AS n, CASE WHEN ok THEN m END AS m,
-    CASE WHEN ok THEN CASE kind WHEN 'bad_domain' THEN 'IIIC' ELSE overall_stage END END
-      AS overall_stage,
-    CASE WHEN ok AND kind <> 'keys_left_out' THEN markers END AS markers,
+    CASE WHEN staged THEN t END AS t, CASE WHEN staged THEN n END AS n, CASE WHEN staged THEN m END AS m,
+    CASE WHEN staged THEN CASE kind WHEN 'bad_domain' THEN 'IIIC' ELSE overall_stage END END
+      AS overall_stage, NOT staged AS no_stage,
+    CASE WHEN ok AND kind <> 'keys_left_out' THEN CASE kind WHEN 'plain_member'
+      THEN list_append(markers, {{'name': NULL, 'status': NULL}}) ELSE markers END END AS markers,
+    CASE WHEN kind = 'extra_members' THEN CAST(len(markers) AS INTEGER) ELSE 0 END AS with_method,
     CASE WHEN ok THEN meds END AS meds,
     CASE WHEN ok THEN ecog END AS ecog,
     CASE WHEN ok AND ecog IS NOT NULL THEN CASE kind WHEN 'ecog_text' THEN '"' || ecog || '"'
       ELSE CAST(ecog AS VARCHAR) END END AS ecog_json,
     CASE WHEN ok THEN 400 + {_draw('tokens_in')} % 800 ELSE 0 END AS input_tokens,
     CASE WHEN ok THEN 60 + {_draw('tokens_out')} % 200 ELSE 0 END AS output_tokens
-  FROM (SELECT *, kind IN ({", ".join(map(_s, _VALID_KINDS))}) AS ok FROM kinds)
+  FROM (SELECT *, kind IN ({", ".join(map(_s, _VALID_KINDS))}) AS ok, ok AND kind <> 'null_stage' AS staged
+    FROM kinds)
 )"""
 
 _ANSWERS = """written AS MATERIALIZED (
   SELECT note_id, kind, '{"primary_diagnosis": "' ||
-      CASE kind WHEN 'upper_case' THEN upper(primary_diagnosis) ELSE primary_diagnosis END ||
+      CASE kind WHEN 'upper_case' THEN upper(primary_diagnosis)
+        WHEN 'odd_text' THEN '  ' || primary_diagnosis || '\\nsecond line  ' ELSE primary_diagnosis END ||
       '", "primary_site": "' || CASE kind WHEN 'upper_case' THEN upper(primary_site)
         WHEN 'bad_domain' THEN '' ELSE primary_site END ||
-      '", "tnm_stage": {"t": ' || coalesce('"' || t || '"', 'null') ||
-      ', "n": ' || coalesce('"' || n || '"', 'null') ||
-      ', "m": ' || coalesce('"' || m || '"', 'null') || ', "overall_stage": "' ||
-      CASE kind WHEN 'bad_domain' THEN 'IIIC' ELSE overall_stage END || '"}' ||
+      '", "tnm_stage": ' || CASE kind WHEN 'null_stage' THEN 'null' ELSE
+        '{"t": ' || coalesce('"' || t || '"', 'null') ||
+        ', "n": ' || coalesce('"' || n || '"', 'null') ||
+        ', "m": ' || coalesce('"' || m || '"', 'null') || ', "overall_stage": "' ||
+        CASE kind WHEN 'bad_domain' THEN 'IIIC' ELSE overall_stage END || '"}' END ||
       CASE kind WHEN 'keys_left_out' THEN '' ELSE ', "histology": "' ||
         CASE kind WHEN 'upper_case' THEN upper(histology) ELSE histology END ||
         '", "biomarkers": [' || coalesce(array_to_string(list_transform(markers, lambda k:
-          '{"name": "' || k.name || '", "status": "' || k.status || '"}'), ', '), '') || ']' END ||
+          '{"name": "' || k.name || '", "status": "' || k.status ||
+          CASE kind WHEN 'extra_members' THEN '", "method": "IHC"}' ELSE '"}' END), ', '), '') ||
+          CASE kind WHEN 'plain_member' THEN CASE WHEN len(markers) > 0 THEN ', ' ELSE '' END || '"PTEN"'
+            ELSE '' END || ']' END ||
       ', "medications": [' ||
         coalesce(array_to_string(list_transform(meds, lambda d: '"' || d || '"'), ', '), '') ||
       '], "ecog_performance_status": ' || coalesce(CASE kind WHEN 'ecog_text'
@@ -237,7 +245,7 @@ answers AS MATERIALIZED (
 )"""
 _ALL = f"{_RULES},\n{_MODEL}"
 
-_MARKERS = ("coalesce(array_to_string(list_transform(markers, lambda k: k.name || '=' || k.status),"
+_MARKERS = ("coalesce(array_to_string(list_transform(markers, lambda k: coalesce(k.name || '=' || k.status, '')),"
             " ';'), '')")
 _MEDS = "coalesce(array_to_string(meds, ','), '')"
 
@@ -255,7 +263,7 @@ def _side(system: str, source: str, ecog: str = "'n:' || ecog") -> str:
     return f"""{scalars}
   UNION ALL SELECT {_s(system)}, note_id, 'ecog_performance_status', {ecog} FROM {source}
   UNION ALL {stages}
-  UNION ALL SELECT {_s(system)}, note_id, 'biomarkers', lower(u.k.name) || '|' || lower(u.k.status)
+  UNION ALL SELECT {_s(system)}, note_id, 'biomarkers', coalesce(lower(u.k.name) || '|' || lower(u.k.status), 'plain')
     FROM {source}, unnest(markers) AS u(k)
   UNION ALL SELECT {_s(system)}, note_id, 'medications', lower(u.d) FROM {source}, unnest(meds) AS u(d)"""
 
@@ -346,9 +354,9 @@ _LEAK = " OR ".join(
 
 _LANDED = f"""landed AS MATERIALIZED (
   SELECT {_s(RULE_RUN)} AS run_id, note_id, method, primary_diagnosis, primary_site, histology,
-    t, n, m, overall_stage, markers, meds, ecog FROM facts
+    t, n, m, overall_stage, markers, meds, ecog, false AS no_stage, 0 AS with_method FROM facts
   UNION ALL SELECT {_s(MODEL_RUN)}, note_id, method, primary_diagnosis, primary_site, histology,
-    t, n, m, overall_stage, markers, meds, ecog FROM model),
+    t, n, m, overall_stage, markers, meds, ecog, no_stage, with_method FROM model),
 codes(primary_site, icdo3_code, icdo3_label) AS (
   VALUES {', '.join('(' + ', '.join(map(_s, row)) + ')' for row in fv.SITE_CODES)})"""
 _GROUP = "CASE {} ELSE {} END".format(
@@ -370,6 +378,12 @@ _PROMPT = f"{_s(_PROMPT_HEAD)} || text || {_s(fv.PROMPT_FRAME.split('{note}')[1]
 _ASSEMBLED = (f"note_id, {{}} AS method, primary_site, overall_stage, {_MARKERS} AS biomarkers, "
               f"{_MEDS} AS medications, ecog AS ecog_performance_status")
 
+_PARSED = f"""WITH {_ALL}
+SELECT note_id, method, {_SCALARS},
+  CASE WHEN markers IS NOT NULL THEN {_MARKERS} END AS biomarkers,
+  CASE WHEN meds IS NOT NULL THEN {_MEDS} END AS medications, ecog_json AS ecog, with_method,
+  input_tokens, output_tokens FROM model"""
+
 ORACLES: dict[str, str] = {
     "notes_rendered": f"WITH {NOTES} SELECT note_id, text, {_SCALARS}, "
                       "ecog AS ecog_performance_status FROM notes",
@@ -402,11 +416,8 @@ SELECT count(*) AS notes, CAST(sum(redactions) AS BIGINT) AS redactions,
   md5({_PROMPT}) AS prompt_md5, CAST(length({_PROMPT}) AS INTEGER) AS prompt_length FROM deid""",
     "responses_joined": f"""WITH {_ALL}, {_ANSWERS}
 SELECT note_id, md5(text) AS text_md5, md5(answer) AS body_md5 FROM answers""",
-    "responses_parsed": f"""WITH {_ALL}
-SELECT note_id, method, {_SCALARS},
-  CASE WHEN markers IS NOT NULL THEN {_MARKERS} END AS biomarkers,
-  CASE WHEN meds IS NOT NULL THEN {_MEDS} END AS medications, ecog_json AS ecog,
-  input_tokens, output_tokens FROM model""",
+    "responses_parsed": _PARSED,
+    "responses_repeated": _PARSED,
     "usage_cost": f"""WITH {_ALL},
 used AS (SELECT count(*) AS notes, CAST(sum(input_tokens) AS BIGINT) AS input_tokens,
   CAST(sum(output_tokens) AS BIGINT) AS output_tokens FROM model),
@@ -439,10 +450,14 @@ SELECT CAST(row_number() OVER (ORDER BY f1 DESC, ord) AS INTEGER) AS rank, syste
     "eval_labels": f"WITH {_LABELS}, {_LABELS_SCORED} {_REPORT}",
     "landing_roundtrip": f"""WITH {_ALL}, {_LANDED}
 SELECT run_id, note_id, method, primary_diagnosis, primary_site, histology, overall_stage,
-  markers IS NULL AS no_biomarkers, CAST(coalesce(len(meds), 0) AS INTEGER) AS medications,
+  markers IS NULL AS no_biomarkers, no_stage, with_method, CAST(coalesce(len(meds), 0) AS INTEGER) AS medications,
   ecog AS ecog_performance_status, {_STAMP} AS loaded_at FROM landed""",
-    "landing_csv": f"""WITH {_RULES} SELECT {_s(RULE_RUN)} AS run_id, note_id, method, {_SCALARS},
-  {_MARKERS} AS biomarkers, {_MEDS} AS medications, ecog AS ecog_performance_status FROM facts""",
+    "landing_csv": f"""WITH {_ALL}, {_LANDED} SELECT run_id, note_id, method, {_SCALARS.replace('primary_site', "nullif(primary_site, '') AS primary_site")},
+  CASE WHEN markers IS NOT NULL THEN {_MARKERS} END AS biomarkers,
+  CASE WHEN meds IS NOT NULL THEN {_MEDS} END AS medications, ecog AS ecog_performance_status FROM landed""",
+    "eval_from_files": f"""WITH {_ALL}, {_counts('model')}
+SELECT system, field, tp, fp, fn, round(p, 9) AS p, round(r, 9) AS r, round(f1, 9) AS f1
+FROM scored WHERE is_total = 0""",
     "jsonl_roundtrip": f"""WITH {NOTES} SELECT note_id, md5(text) AS text_md5, primary_site, t, n, m,
   overall_stage, {_MARKERS} AS biomarkers, {_MEDS} AS medications,
   ecog AS ecog_performance_status FROM notes""",
@@ -457,7 +472,8 @@ SELECT count(DISTINCT note_id) AS cases FROM dim WHERE {_HER2}""",
     "cohort_stage3_her2_trastuzumab": f"""WITH {_FCT}
 SELECT note_id, run_id, icdo3_code, overall_stage, stage_group FROM fct
 WHERE primary_site = 'breast' AND overall_stage LIKE 'III%'
-  AND note_id IN (SELECT note_id FROM dim WHERE {_HER2})
+  AND EXISTS (SELECT 1 FROM landed l, unnest(l.markers) AS u(k) WHERE l.note_id = fct.note_id
+    AND l.run_id = fct.run_id AND u.k.name = 'HER2' AND u.k.status = 'positive')
   AND EXISTS (SELECT 1 FROM landed l WHERE l.note_id = fct.note_id AND l.run_id = fct.run_id
     AND list_contains(l.meds, 'trastuzumab'))""",
     "stage_groups": f"""WITH {_RULES},
@@ -465,6 +481,7 @@ codes(primary_site, icdo3_code, icdo3_label) AS (
   VALUES {', '.join('(' + ', '.join(map(_s, row)) + ')' for row in fv.SITE_CODES)})
 SELECT icdo3_code, {_GROUP} AS stage_group, count(*) AS notes
 FROM facts LEFT JOIN codes USING (primary_site) GROUP BY ALL""",
+    "batch_run": f"WITH {_FCT} SELECT * FROM fct WHERE run_id = {_s(RULE_RUN)}",
     "landing_incremental": f"""WITH {_RULES} SELECT {_s(RULE_RUN)} AS run_id, note_id, method,
   primary_site, overall_stage, ecog AS ecog_performance_status FROM facts""",
 }

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from notewright.functions.text import strip
 from notewright.operators import deidentify as deid
 from notewright.operators import landing, marts, quality, responses, scoring
-from notewright.operators.extract import rule_facts
+from notewright.operators.extract import extract, rule_facts
 from notewright.plans import corpus
-from notewright.schemas import GOLD, PREDICTION
+from notewright.plans.batch import FCT, run_batch
+from notewright.schemas import GOLD, MODEL_PREDICTION
 from notewright.session import scratch_path
 from notewright.sources import landing as landing_table
 from notewright.sources import records, site_codes
@@ -87,23 +88,25 @@ def deid_custom_rule(spark, sf_dir):
 
 
 def facts_scalar(spark, sf_dir):
-    return corpus.rule_predictions(spark, sf_dir).select(
+    fields = ("primary_diagnosis", "primary_site", "histology", "tnm_stage", "ecog_performance_status")
+    return rule_facts(corpus.deidentified(spark, sf_dir), fields=fields).select(
         "note_id", "primary_diagnosis", "primary_site", "histology", *_stage_columns(),
         "ecog_performance_status")
 
 
 def facts_biomarkers(spark, sf_dir):
-    return corpus.rule_predictions(spark, sf_dir).select("note_id", F.inline("biomarkers"))
+    facts = rule_facts(corpus.deidentified(spark, sf_dir), fields=("biomarkers",))
+    return facts.select("note_id", F.inline("biomarkers"))
 
 
 def biomarker_false_hits(spark, sf_dir):
-    return rule_facts(corpus.documents(spark, sf_dir)).select(
+    return rule_facts(corpus.documents(spark, sf_dir), fields=("biomarkers",)).select(
         F.col("note_id").alias("doc_id"), F.inline("biomarkers"))
 
 
 def facts_meds(spark, sf_dir):
-    return corpus.rule_predictions(spark, sf_dir).select(
-        "note_id", F.explode("medications").alias("medication"))
+    facts = rule_facts(corpus.deidentified(spark, sf_dir), fields=("medications",))
+    return facts.select("note_id", F.explode("medications").alias("medication"))
 
 
 def _assembled(predictions):
@@ -134,13 +137,33 @@ def responses_joined(spark, sf_dir):
         F.md5(responses.without_fence(strip(F.col("text")))).alias("body_md5"))
 
 
-def responses_parsed(spark, sf_dir):
-    return corpus.responded_predictions(spark, sf_dir).select(
+def _parsed(predictions):
+    """Predictions of a model, typed, with what no type shows: ECOG as JSON, extra members."""
+    extra = F.size(F.filter(
+        F.coalesce(F.try_variant_get("biomarkers", "$", "array<variant>"), F.array()),
+        lambda m: F.try_variant_get(m, "$.method", "string").isNotNull()))
+    whole = predictions.withColumns({
+        "ecog": F.to_json("ecog_performance_status"), "with_method": extra})
+    return responses.typed_facts(whole).select(
         "note_id", "method", "primary_diagnosis", "primary_site", "histology",
         *_stage_columns(),
         F.when(F.col("biomarkers").isNotNull(), _markers_text()).alias("biomarkers"),
         F.array_join("medications", ",").alias("medications"),
-        F.to_json("ecog_performance_status").alias("ecog"), "input_tokens", "output_tokens")
+        "ecog", "with_method", "input_tokens", "output_tokens")
+
+
+def responses_parsed(spark, sf_dir):
+    return _parsed(corpus.responded_predictions(spark, sf_dir))
+
+
+def responses_repeated(spark, sf_dir):
+    """A third of the requests was retried: an earlier answer must not count."""
+    final = corpus.responses(spark, sf_dir).withColumn("seq", F.lit(1))
+    early = final.where(corpus.note_key(F.col("note_id")) % 3 == 0).withColumns({
+        "content": F.array(F.struct(F.lit("text").alias("type"), F.lit('{"primary_site": "early"}').alias("text"))),
+        "seq": F.lit(0)})
+    return _parsed(responses.model_predictions(
+        corpus.raw_notes(spark, sf_dir), early.unionByName(final), order="seq"))
 
 
 def usage_cost(spark, sf_dir):
@@ -148,16 +171,20 @@ def usage_cost(spark, sf_dir):
     return _rounded(usage, "cost", "cost_per_note", places=6)
 
 
+def _gated(spark, predictions, notes):
+    """The verdict on a batch that was written, so that neither side is computed twice."""
+    return _rounded(quality.gate_verdict(
+        _table(spark, predictions, "predictions"), _table(spark, notes, "notes")), "value")
+
+
 def gate_clean(spark, sf_dir):
-    verdict = quality.gate_verdict(
-        corpus.rule_predictions(spark, sf_dir), corpus.deidentified(spark, sf_dir))
-    return _rounded(verdict, "value")
+    notes = _table(spark, corpus.deidentified(spark, sf_dir), "notes")
+    return _gated(spark, extract(notes), notes)
 
 
 def gate_broken(spark, sf_dir):
-    verdict = quality.gate_verdict(
-        corpus.responded_predictions(spark, sf_dir), corpus.raw_notes(spark, sf_dir))
-    return _rounded(verdict, "value")
+    return _gated(
+        spark, corpus.responded_predictions(spark, sf_dir), corpus.raw_notes(spark, sf_dir))
 
 
 def leak_scan(spark, sf_dir):
@@ -173,7 +200,7 @@ def leak_scan(spark, sf_dir):
 
 def last_record_wins(spark, sf_dir):
     """Facts with later versions of some records; one key holds a third of all versions."""
-    facts = corpus.rule_predictions(spark, sf_dir)
+    facts = rule_facts(corpus.deidentified(spark, sf_dir), fields=("primary_site",))
     key = corpus.note_key(F.col("note_id"))
     versions = F.array_compact(F.array(
         F.struct("note_id", F.lit(0).cast("bigint").alias("seq"), "primary_site"),
@@ -234,27 +261,45 @@ def landing_roundtrip(spark, sf_dir):
         "run_id", "note_id", "method", "primary_diagnosis", "primary_site", "histology",
         F.try_variant_get("tnm_stage", "$.overall_stage", "string").alias("overall_stage"),
         F.is_variant_null("biomarkers").alias("no_biomarkers"),
+        F.is_variant_null("tnm_stage").alias("no_stage"),
+        F.coalesce(F.size(F.filter(
+            F.try_variant_get("biomarkers", "$", "array<variant>"),
+            lambda m: F.try_variant_get(m, "$.method", "string").isNotNull())), F.lit(0)).alias("with_method"),
         F.coalesce(F.size(F.try_variant_get("medications", "$", "array<string>")), F.lit(0))
         .alias("medications"),
         "ecog_performance_status", F.col("loaded_at").cast("string").alias("loaded_at"))
 
 
 def landing_csv(spark, sf_dir):
+    """Both runs through CSV, a model's answers with line ends and outer blanks among them."""
     path = scratch_path(spark, "landing-csv")
-    landing_table.write_landing_csv(
-        landing.landing_text(corpus.rule_predictions(spark, sf_dir), RULE_RUN), path)
+    runs = [landing.landing_text(build(spark, sf_dir), run_id) for run_id, build in (
+        (RULE_RUN, corpus.rule_predictions), (MODEL_RUN, corpus.responded_predictions))]
+    landing_table.write_landing_csv(runs[0].unionByName(runs[1]), path)
     back = landing_table.read_landing_csv(spark, path)
-    parsed = back.withColumns({
-        "tnm_stage": F.from_json("tnm_stage", PREDICTION["tnm_stage"].dataType),
-        "biomarkers": F.from_json("biomarkers", PREDICTION["biomarkers"].dataType),
-        "medications": F.from_json("medications", PREDICTION["medications"].dataType),
-    })
+    parsed = responses.typed_facts(back.withColumns({
+        c: F.parse_json(c) for c in landing.NESTED}))
     return parsed.select(
         "run_id", "note_id", "method", "primary_diagnosis", "primary_site", "histology",
         *_stage_columns(), _markers_text().alias("biomarkers"),
         F.array_join("medications", ",").alias("medications"), "ecog_performance_status")
 
 
+def eval_from_files(spark, sf_dir):
+    """Gold and a model's predictions through JSONL, scored from what was read back."""
+    sides = {}
+    for name, schema, frame in (
+        ("gold", GOLD, corpus.gold(spark, sf_dir)),
+        ("model", MODEL_PREDICTION, corpus.responded_predictions(spark, sf_dir).drop(
+            "input_tokens", "output_tokens")),
+    ):
+        path = scratch_path(spark, name)
+        records.write_jsonl(frame, path)
+        sides[name] = records.read_keyed(spark, path, schema)
+    counts = scoring.count_matches(sides["gold"], [("model", sides["model"])], order="seq")
+    return _rounded(scoring.field_scores(counts), "p", "r", "f1")
+
+
 def jsonl_roundtrip(spark, sf_dir):
     """Notes and gold through JSONL, then the rules on the notes read back."""
     notes_path, gold_path = scratch_path(spark, "notes"), scratch_path(spark, "gold")
@@ -310,15 +355,15 @@ def cohort_her2_breast(spark, sf_dir):
 def cohort_stage3_her2_trastuzumab(spark, sf_dir):
     staged = marts.staging(_landed(spark, sf_dir, RULE_RUN, MODEL_RUN))
     cohort = marts.treated_cohort(
-        marts.fct_diagnoses(staged, _codes(spark)), marts.dim_biomarkers(staged), staged,
-        site="breast", stage_prefix="III", name="HER2", status="positive",
+        marts.fct_diagnoses(staged, _codes(spark)), staged, site="breast", stage_prefix="III", name="HER2", status="positive",
         medication="trastuzumab")
     return cohort.select("note_id", "run_id", "icdo3_code", "overall_stage", "stage_group")
 
 
 def stage_groups(spark, sf_dir):
     """From keys to a coded cohort table in one plan, with one aggregate."""
-    facts = corpus.rule_predictions(spark, sf_dir).select(
+    facts = rule_facts(
+        corpus.deidentified(spark, sf_dir), fields=("primary_site", "tnm_stage")).select(
         "primary_site", F.col("tnm_stage.overall_stage").alias("overall_stage"), "note_id")
     coded = marts.with_site_codes(facts, site_codes.default_site_codes(spark))
     return coded.groupBy(
@@ -326,6 +371,18 @@ def stage_groups(spark, sf_dir):
     ).agg(F.count(F.lit(1)).alias("notes"))
 
 
+def batch_run(spark, sf_dir):
+    """Two batches into one folder: the rules pass the gate, the model's answers do not."""
+    folder, notes = scratch_path(spark, "batch"), corpus.raw_notes(spark, sf_dir)
+    run_batch(notes, folder, RULE_RUN, _codes(spark), loaded_at=LOADED_AT)
+    try:
+        run_batch(notes, folder, MODEL_RUN, _codes(spark), corpus.responses(spark, sf_dir), loaded_at=LOADED_AT)
+    except quality.GateFailure:
+        pass  # what was landed before it stands
+    fct = spark.read.parquet(f"{folder}/marts/{FCT}")
+    return fct.withColumn("loaded_at", F.col("loaded_at").cast("string"))
+
+
 def landing_incremental(spark, sf_dir):
     """Notes that arrive as files, landed by an incremental run."""
     incoming, path = scratch_path(spark, "incoming"), scratch_path(spark, "landing")
@@ -340,9 +397,9 @@ def landing_incremental(spark, sf_dir):
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     notes_rendered, gold_long, deid_text, deid_counts, deid_stats, deid_custom_rule,
     facts_scalar, facts_biomarkers, biomarker_false_hits, facts_meds, facts_assembled,
-    model_offline, prompts, responses_joined, responses_parsed, usage_cost, gate_clean,
+    model_offline, prompts, responses_joined, responses_parsed, responses_repeated, usage_cost, gate_clean,
     gate_broken, leak_scan, last_record_wins, eval_fields, eval_report, eval_head_to_head,
-    eval_labels, landing_roundtrip, landing_csv, jsonl_roundtrip, stg_extractions,
+    eval_labels, eval_from_files, landing_roundtrip, landing_csv, jsonl_roundtrip, stg_extractions,
     fct_diagnoses, dim_biomarkers, cohort_her2_breast, cohort_stage3_her2_trastuzumab,
-    stage_groups, landing_incremental,
+    stage_groups, batch_run, landing_incremental,
 )}

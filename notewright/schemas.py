@@ -35,6 +35,12 @@ PREDICTION = T.StructType([
     *FACTS.fields,
 ])
 
+# what a model answered, as it came: any fact may be of any JSON type
+MODEL_PREDICTION = T.StructType([
+    *PREDICTION.fields[:2],
+    *[T.StructField(f.name, T.VariantType()) for f in FACTS.fields],
+])
+
 SITE_CODE = T.StructType([
     T.StructField(c, T.StringType()) for c in ("primary_site", "icdo3_code", "icdo3_label")
 ])

@@ -26,15 +26,21 @@ def read_landing(spark: SparkSession, *paths: str, run_id: str | None = None) ->
     return landed if run_id is None else landed.where(landed["run_id"] == run_id)
 
 
+_CSV = {
+    "escape": '"', "emptyValue": "", "header": "true",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def write_landing_csv(rows: DataFrame, path: str) -> None:
     """The landing columns as CSV with a header, nested values as JSON text.
 
-    Quotes are doubled inside quoted values. An empty batch gives no data rows.
+    Quotes are doubled inside quoted values; outer blanks and line ends inside a value stay. An
+    empty batch gives no data rows. An empty text is written like null, and comes back as null.
     """
-    (rows.select(*LANDING_TEXT.fieldNames()).write.option("escape", '"')
-     .option("emptyValue", "").csv(path, header=True))
+    rows.select(*LANDING_TEXT.fieldNames()).write.options(**_CSV).csv(path)
 
 
 def read_landing_csv(spark: SparkSession, path: str) -> DataFrame:
-    return (spark.read.schema(LANDING_TEXT).option("escape", '"').option("multiLine", "false")
-            .csv(path, header=True))
+    """What write_landing_csv wrote. A value may span lines, so a file is read as a whole."""
+    return spark.read.schema(LANDING_TEXT).options(**_CSV, multiLine="true").csv(path)

@@ -67,7 +67,7 @@ def main() -> int:
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, failed = connect(args.sf), entry.oracle_sql(), 0
     for name, query in entry.queries().items():
-        if args.names and name not in args.names:
+        if name not in (args.names or sqls) or name not in sqls:
             continue
         start = time.time()
         try:

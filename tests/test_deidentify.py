@@ -4,9 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from notewright import fixed_values as fv
+from helpers import orders
+
 from notewright.functions.text import spark_regex
 from notewright.operators.deidentify import DEFAULT_RULES, Rule, deidentify, redact, redaction_stats
-from notewright.operators.render import render_notes
+from notewright.plans.note_fixture import render_notes
 
 
 def cleaned(df):
@@ -85,15 +87,15 @@ def test_stats(spark, notes):
 
 
 def test_rendered_notes_are_clean_after_one_pass(spark):
-    rendered = render_notes(spark.range(400).withColumnRenamed("id", "k"), "k")
+    rendered = render_notes(orders(spark, 400), "k", "c", "d")
     once = deidentify(rendered)
     assert redact(once).agg(F.sum("redactions")).first()[0] == 0
 
 
 def test_rendering_depends_on_the_key_only(spark):
-    rows = spark.range(200).withColumnRenamed("id", "k")
-    a = render_notes(rows, "k").orderBy("note_id").collect()
-    b = render_notes(rows.repartition(7).where("k >= 0"), "k").orderBy("note_id").collect()
+    rows = orders(spark, 200)
+    a = render_notes(rows, "k", "c", "d").orderBy("note_id").collect()
+    b = render_notes(rows.repartition(7).where("k >= 0"), "k", "c", "d").orderBy("note_id").collect()
     assert a == b and len({r["text"] for r in a}) > 190
 
 
@@ -111,3 +113,41 @@ def test_many_rules_and_a_join_on_the_result_still_plan(spark, notes):
 def test_boundary_forms():
     assert spark_regex(r"\bT1").startswith("T(?<!")
     assert spark_regex(r"\bT?1").startswith("(?:(?<=")
+
+
+PATTERNS = [
+    r"\b\d?AB\d{3}\b", r"\b\d*AB", r"\b\d{0,2}X", r"\b\d{1,2}/\d{2}\b", r"\w+", r"\W+", r"\D+", r"\S+",
+    r"\Bb", r"b\B", r"[\w.]+@[\w-]+", r"[\s,]+x", r"\bA?B", r"\bA|C", r"\bAB\b", r"[]x]+", r"[^]x]+",
+    r"[&&a]+", r"[a[b]+", r"x\b|\d", r"\b\d|Z", r"[\d/]+", r"\(\w\)",
+]
+TEXTS = [
+    "AB123", "1AB123 xAB123", "12X X 3X", "Zoë-é12", "12/34 1/22", "a b x,\u2003x", "b ab ba bab", "foo.bar@é-x.de",
+    "CAB AB B", "x]x&&a[b", "\u0663AB123 \u0663", "z(é) Z9 x9", "", "a\nb_c",
+]
+
+
+def test_own_patterns_agree_with_python(spark):
+    rows = spark.createDataFrame([(t,) for t in TEXTS], "t string").coalesce(1)
+    found = rows.select(*[
+        F.regexp_replace("t", F.lit(spark_regex(p)), F.lit("#")).alias(str(i)) for i, p in enumerate(PATTERNS)])
+    wanted = [tuple(re.sub(p, "#", t) for p in PATTERNS) for t in TEXTS]
+    assert [tuple(r) for r in found.collect()] == wanted
+    for refused in (r"[\W]", r"[a\b]", r"[^\S]"):
+        with pytest.raises(ValueError, match="no counterpart"):
+            spark_regex(refused)
+
+
+def test_own_rules_leave_nothing(notes):
+    rules = [Rule("code", r"\b\d?AB\d{3}\b"), Rule("word", r"\bkey:\w+")]
+    [row] = redact(notes("AB123 and 7AB456, key:Zoë_é12."), rules).collect()
+    assert row["text"] == "[REDACTED] and [REDACTED], [REDACTED]." and list(row["rule_redactions"]) == [2, 1]
+
+
+def test_filters_on_ids_reach_the_scan(spark, notes, tmp_path):
+    from notewright.operators.extract import extract
+
+    notes("melanoma, ER positive", "x").write.parquet(str(tmp_path / "n"))
+    stored = spark.read.parquet(str(tmp_path / "n"))
+    for df in (deidentify(stored), redact(stored), extract(stored), extract(deidentify(stored))):
+        plan = df.where("note_id = 'n1'")._jdf.queryExecution().executedPlan().toString()
+        assert "EqualTo(note_id,n1)" in plan and df.where("note_id = 'n1'").count() == 1

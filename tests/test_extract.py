@@ -1,7 +1,7 @@
 import re
 
 from notewright import fixed_values as fv
-from notewright.operators.extract import ExtractionRules, extract, rule_facts
+from notewright.operators.extract import ExtractionRules, Pattern, extract, rule_facts
 
 
 def facts(notes, *texts):
@@ -13,41 +13,34 @@ def markers(row):
     return {m["name"]: m["status"] for m in row["biomarkers"]}
 
 
-def test_core_fields(notes):
+def test_fields_of_a_plain_note(notes):
     [row] = facts(notes, (
-        "58-year-old woman. Diagnosis: invasive ductal carcinoma of the breast. "
-        "Consistent with T2 N1 M0, overall stage IIB. ER positive, HER2 negative. "
-        "ECOG performance status 1. Currently on tamoxifen."))
-    assert row["primary_site"] == "breast"
-    assert row["tnm_stage"].asDict() == {"t": "T2", "n": "N1", "m": "M0", "overall_stage": "IIB"}
-    assert row["ecog_performance_status"] == 1
-    assert row["medications"] == ["tamoxifen"]
-    assert markers(row) == {"ER": "positive", "HER2": "negative"}
+        "Left breast biopsy: IDC. Extent T3 N0 M0 (stage IIA by our count). Receptors ER negative, "
+        "PR positive. ECOG 2. Started paclitaxel and trastuzumab."))
+    assert (row["primary_site"], row["histology"]) == ("breast", "invasive ductal carcinoma")
+    assert row["tnm_stage"].asDict() == {"t": "T3", "n": "N0", "m": "M0", "overall_stage": "IIA"}
+    assert (row["ecog_performance_status"], row["medications"]) == (2, ["paclitaxel", "trastuzumab"])
+    assert markers(row) == {"ER": "negative", "PR": "positive"}
 
 
-def test_note_shapes_by_hand(notes):
+def test_shapes_that_hide_facts(notes):
     rows = facts(
         notes,
-        "[REDACTED]   DOS: [REDACTED]   Provider: [REDACTED]\nHPI: 60yo male, h/o NSCLC "
-        "(adenocarcinoma). Here for f/u.\nSTAGING: T1N2M0 (stage IIIA).\nMOLECULAR: EGFR exon 19 "
-        "deletion, PD-L1 <1%.\nPS: ECOG 2.\nA/P: Continue osimertinib, alectinib. RTC 8 wks.",
-        "Patient [REDACTED] ([REDACTED]) is a 70-year-old male seen on [REDACTED] by [REDACTED]. "
-        "She has a history of prostate adenocarcinoma. Disease is currently clinical stage IV. "
-        "Recent molecular testing showed PSA 8.2 ng/mL. Performance status is ECOG 0. The patient "
-        "is tolerating docetaxel well without significant toxicity.",
-        "[REDACTED] | [REDACTED] | [REDACTED]\nIMPRESSION: IDC of the left breast, T2 N1 M0, stage "
-        "IIB.\nMarkers: HER2 3+, ER(positive), Ki-67 30%.\nPLAN: tamoxifen; reassess.",
-        "50yo female s/p workup. Dx: melanoma. T4 N0 M1, stage IV. ECOG 3. Pt to start tx.",
+        "NSCLC, right hilum, now T4N2M1 (stage IV); EGFR exon 19 deletion and PD-L1 70%. ECOG performance "
+        "status 3, on pembrolizumab with Carboplatin.",
+        "[REDACTED] for a prostate tumor, clinical stage IIB. PSA 11.7 ng/mL. ECOG 1. docetaxel planned.",
+        "Mass of the left breast, T1 N0 M0, stage I. HER2 3+ / ER(positive) / Ki-67 8%; anastrozole.",
+        "Scalp melanoma, T2 N1 M0 - stage IIIB, nothing given yet",
     )
     assert [r["primary_site"] for r in rows] == ["lung", "prostate", "breast", "skin"]
     assert [tuple(r["tnm_stage"]) for r in rows] == [
-        (None, None, None, "IIIA"), (None, None, None, "IV"), ("T2", "N1", "M0", "IIB"),
-        ("T4", "N0", "M1", "IV")]
+        (None, None, None, "IV"), (None, None, None, "IIB"), ("T1", "N0", "M0", "I"),
+        ("T2", "N1", "M0", "IIIB")]
     assert [markers(r) for r in rows] == [
-        {"EGFR": "exon", "PD-L1": "<1%"}, {"PSA": "8.2"}, {"HER2": "3", "Ki-67": "30%"}, {}]
+        {"EGFR": "exon", "PD-L1": "70%"}, {"PSA": "11.7"}, {"HER2": "3", "Ki-67": "8%"}, {}]
     assert [r["medications"] for r in rows] == [
-        ["alectinib", "osimertinib"], ["docetaxel"], ["tamoxifen"], []]
-    assert [r["ecog_performance_status"] for r in rows] == [2, 0, None, 3]
+        ["carboplatin", "pembrolizumab"], ["docetaxel"], ["anastrozole"], []]
+    assert [r["ecog_performance_status"] for r in rows] == [3, 1, None, None]
 
 
 def test_stage_and_category_traps(notes):
@@ -108,3 +101,15 @@ def test_filter_on_a_fact_runs_the_patterns_once(notes):
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Contains(_lowered") <= 2 * 40 and df.count() == 1
     assert plan.count("(?iu)HER2") <= 1
+
+
+def test_an_own_pattern_has_no_foreign_literal(notes):
+    own = ExtractionRules(stage=r"stadium\s+(IV|III)\b", ecog=Pattern(r"zubrod\s+([0-5])", "zubrod"))
+    [row] = rule_facts(notes("Stadium IV, Zubrod 2"), own).collect()
+    assert (row["tnm_stage"]["overall_stage"], row["ecog_performance_status"]) == ("IV", 2)
+
+
+def test_only_wanted_fields_are_computed(notes):
+    df = rule_facts(notes("melanoma, ER positive"), fields=("primary_site",))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert df.columns == ["note_id", "primary_site"] and "HER2" not in plan and "ECOG" not in plan

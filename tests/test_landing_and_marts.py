@@ -108,8 +108,7 @@ def test_biomarkers_and_cohorts(spark, landed):
     assert "Exchange" not in dim._jdf.queryExecution().executedPlan().toString()
     assert marts.marker_cases(dim, "breast", "HER2", "positive").first()["cases"] == 1
     cohort = marts.treated_cohort(
-        marts.fct_diagnoses(staged, site_codes.default_site_codes(spark)), dim, staged,
-        "breast", "III", "HER2", "positive", "trastuzumab")
+        marts.fct_diagnoses(staged, site_codes.default_site_codes(spark)), staged, "breast", "III", "HER2", "positive", "trastuzumab")
     assert sorted(r["run_id"] for r in cohort.collect()) == ["r1", "r2"]
 
 
@@ -172,3 +171,48 @@ def test_new_files_are_landed_once(spark, notes, tmp_path):
     streamed = table.read_landing(spark, path, run_id="r2")
     assert sorted(streamed.select(columns).collect(), key=str) == sorted(
         batch.select(columns).collect(), key=str)
+
+
+def test_csv_keeps_blanks_and_line_ends(spark, predictions, tmp_path):
+    text = landing_text(predictions, "r").withColumn(
+        "primary_diagnosis", F.concat(F.lit("  two\nlines, \"quoted\"\r\nthree "), F.col("note_id"), F.lit("  ")))
+    table.write_landing_csv(text, str(tmp_path / "csv"))
+    back = table.read_landing_csv(spark, str(tmp_path / "csv"))
+    columns = ["note_id", "primary_diagnosis", "tnm_stage"]
+    assert sorted(back.select(columns).collect()) == sorted(text.select(columns).collect())
+
+
+def test_cohort_evidence_comes_from_the_row_s_own_run(spark, predictions, tmp_path):
+    path = str(tmp_path / "landing")
+    first = predictions.where("note_id = 'a'")
+    turned = first.withColumn("biomarkers", F.transform("biomarkers", lambda m: F.struct(
+        m["name"].alias("name"), F.lit("negative").alias("status"))))
+    for run, frame in (("r1", first), ("r2", turned)):
+        table.append_landing(landing_rows(landing_text(frame, run), AT), path)
+    staged = marts.staging(table.read_landing(spark, path))
+    cohort = marts.treated_cohort(
+        marts.fct_diagnoses(staged, site_codes.default_site_codes(spark)), staged, "breast", "III", "HER2",
+        "positive", "trastuzumab")
+    assert [r["run_id"] for r in cohort.collect()] == ["r1"]
+
+
+def test_a_failed_gate_leaves_landing_and_marts(spark, notes, tmp_path):
+    from notewright.operators.quality import GateFailure
+    from notewright.plans.batch import run_batch
+
+    codes, folder = site_codes.default_site_codes(spark), str(tmp_path / "batch")
+    run_batch(notes("MRN 1234567 melanoma stage IV", "prostate"), folder, "r1", codes, loaded_at=AT)
+
+    def state():
+        return [sorted(map(str, spark.read.parquet(f"{folder}/{t}").collect())) for t in (
+            "landing", "marts/fct_diagnoses", "marts/dim_biomarkers")]
+
+    before = state()
+    assert len(before[0]) == len(before[1]) == 2
+    with pytest.raises(GateFailure, match="site fill rate"):
+        run_batch(notes("nothing known", "nor here"), folder, "r2", codes, loaded_at=AT)
+    with pytest.raises(ValueError, match="landed before"):
+        run_batch(notes("melanoma"), folder, "r1", codes, loaded_at=AT)
+    assert state() == before
+    run_batch(notes("melanoma, BRAF mutated"), folder, "r3", codes, loaded_at=AT)
+    assert [len(t) for t in state()] == [3, 3, 1]

@@ -1,15 +1,16 @@
 import itertools
 
 import pytest
+from helpers import orders
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from notewright.operators.render import render_notes
+from notewright.plans.note_fixture import render_notes
 from notewright.operators.scoring import (
     FACT_FIELDS, ScalarField, count_matches, field_scores, head_to_head, last_record_wins,
     score_report,
 )
-from notewright.schemas import GOLD
+from notewright.schemas import GOLD, MODEL_PREDICTION
 
 EMPTY = {"primary_diagnosis": None, "primary_site": None, "histology": None, "tnm_stage": None,
          "biomarkers": None, "medications": None, "ecog_performance_status": None}
@@ -27,7 +28,7 @@ def counts(gold, pred, **kw):
 
 
 def test_perfect_when_prediction_is_gold(spark):
-    gold = render_notes(spark.range(40).withColumnRenamed("id", "k"), "k").drop("text")
+    gold = render_notes(orders(spark, 40), "k", "c", "d").drop("text")
     got = counts(gold, gold)
     assert len(got) == 7 and all((fp, fn) == (0, 0) for _, fp, fn in got.values())
     [micro] = score_report(count_matches(gold, [("s", gold)])).where(
@@ -97,7 +98,7 @@ def test_report_order_and_head_to_head(frame):
 
 
 def test_micro_counts_are_the_sum_of_fields(spark):
-    gold = render_notes(spark.range(60).withColumnRenamed("id", "k"), "k").drop("text")
+    gold = render_notes(orders(spark, 60), "k", "c", "d").drop("text")
     pred = gold.withColumn("primary_site", F.lit("breast")).where("note_id <> 'NOTE-0003'")
     rows = score_report(count_matches(gold, [("s", pred)])).collect()
     total = next(r for r in rows if r["field"] == "MICRO-AVG")
@@ -121,3 +122,50 @@ def test_last_record_wins_against_brute_force(spark):
     df = spark.createDataFrame(rows, "k string, seq int, v string").repartition(5)
     got = {r["k"]: r["v"] for r in last_record_wins(df, "k", "seq").collect()}
     assert got == {k: v for k, (_, v) in best.items()}
+
+
+def test_a_record_without_a_key_raises(frame):
+    gold = frame(a={"primary_site": "x"})
+    unkeyed = gold.withColumn("note_id", F.lit(None).cast("string"))
+    for pair in ((gold.unionByName(unkeyed), gold), (gold, gold.unionByName(unkeyed))):
+        with pytest.raises(PySparkException, match="a record has no note_id"):
+            counts(*pair)
+
+
+def test_no_window_and_a_hot_key(spark, frame):
+    gold = frame(a={"primary_site": "x"})
+    plan = count_matches(gold, [("s", gold)])._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    hot = spark.range(3000).selectExpr("if(id % 3 = 0, 'a', concat('k', id)) as note_id", "'x' as primary_site")
+    with pytest.raises(PySparkException, match="note_id repeats .*: a"):
+        counts(gold, hot, fields=(ScalarField("primary_site"),))
+
+
+@pytest.mark.parametrize("a, b, same", [
+    ("1.00000000001D", "1.00000000002D", False), ("0.1D", "0.1D", True), ("1", "1.0D", True), ("2", "2.50", False),
+    ("1.50", "1.5D", True), ("true", "1", True), ("1e30D", "1e30D", True), ("12345678901234567890", "12345678901234567891", False),
+    ("parse_json('1.00000000001')", "parse_json('1.00000000002')", False), ("parse_json('1.0')", "1", True),
+    ("parse_json('0.1')", "0.1D", True), ("parse_json('\"1\"')", "1", False), ("parse_json('true')", "true", True),
+    ("parse_json('[1]')", "parse_json('[1]')", True), ("parse_json('5')", "'5'", False), ("cast('nan' as double)", "0.0D", False),
+])
+def test_scalars_are_equal_only_if_they_are(spark, a, b, same):
+    gold, pred = (spark.sql(f"select 'k' as note_id, {v} as x") for v in (a, b))
+    tp = count_matches(gold, [("s", pred)], (ScalarField("x"),)).first()["tp"]
+    assert tp == int(same)
+
+
+def test_model_values_are_scored_whole(spark, frame, tmp_path):
+    from notewright.sources import records
+
+    gold = frame(a={"primary_site": "skin", "biomarkers": [("ER", "positive")], "medications": ["x"],
+                    "tnm_stage": ("T1", None, None, None), "ecog_performance_status": 1})
+    model = {"primary_site": "5", "biomarkers": '[{"name": "er", "status": "Positive", "method": "IHC"}, "PTEN", 7]',
+             "medications": '["X", 3]', "tnm_stage": '{"t": "t1", "n": null, "m": 1}',
+             "ecog_performance_status": '"1"'}
+    pred = spark.range(1).select(F.lit("a").alias("note_id"), F.lit("claude").alias("method"), *[
+        F.parse_json(F.lit(model[c])).alias(c) if c in model else F.lit(None).cast("variant").alias(c) for c in EMPTY])
+    wanted = {"primary_site": (0, 1, 1), "biomarkers": (1, 2, 0), "medications": (1, 1, 0), "tnm_stage": (1, 1, 0),
+              "ecog_performance_status": (0, 1, 1)}
+    assert counts(gold, pred) == wanted
+    records.write_jsonl(pred, str(tmp_path / "p"))
+    assert counts(gold, records.read_keyed(spark, str(tmp_path / "p"), MODEL_PREDICTION), order="seq") == wanted
