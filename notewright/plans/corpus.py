@@ -56,6 +56,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(docs, "doc_id").select(F.col("doc_id").alias("note_id"), "text")
 
 
+def given_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All supplied texts as notes: documents, turns of conversations, and pages as they are."""
+    def named(name: str, key: Column, text: str) -> DataFrame:
+        return table(spark, sf_dir, name, key.alias("note_id"), F.col(text).alias("text"))
+
+    return (
+        named("documents", F.concat(F.lit("d"), "doc_id"), "text")
+        .unionByName(named("conversations", F.concat(F.lit("c"), "conv_id", F.lit("-"), "turn"), "text"))
+        .unionByName(named("pages", F.concat(F.lit("p"), "page_id"), "html")))
+
+
 def note_key(note_id: Column) -> Column:
     return F.substring(note_id, len("NOTE-") + 1, 20).cast("bigint")
 

@@ -15,7 +15,7 @@ from notewright.operators.responses import DEFAULT_INSTRUCTIONS
 from notewright.plans import note_values as nv
 from notewright.plans.corpus import RESPONSE_KINDS
 from notewright.plans.note_fixture import HASH_MODULUS, KEY_MODULUS, MULTIPLIERS
-from notewright.plans.queries import EMAIL_RULE, LOADED_AT, MODEL_RUN, RULE_RUN
+from notewright.plans.queries import EMAIL_RULE, LOADED_AT, MODEL_RUN, OWN_RULES, RULE_RUN
 from notewright.schemas import facts_json_schema
 
 
@@ -384,7 +384,20 @@ SELECT note_id, method, {_SCALARS},
   CASE WHEN meds IS NOT NULL THEN {_MEDS} END AS medications, ecog_json AS ecog, with_method,
   input_tokens, output_tokens FROM model"""
 
+_GIVEN = """given AS MATERIALIZED (
+  SELECT 'd' || doc_id AS note_id, text FROM documents
+  UNION ALL SELECT 'c' || conv_id || '-' || turn, text FROM conversations
+  UNION ALL SELECT 'p' || page_id, html FROM pages)"""
+_GIVEN_RULES = tuple((r.label, r.pattern, r.ignore_case, None) for r in (EMAIL_RULE, *OWN_RULES))
+
 ORACLES: dict[str, str] = {
+    "deid_given": f"WITH {_GIVEN}, " + _redacted(
+        "given", "note_id", (*fv.REDACTION_RULES, *_GIVEN_RULES), (*_RULE_NAMES, "emails", "codes", "secrets"),
+    ) + " SELECT note_id, md5(text) AS text_md5, emails, codes, secrets, redactions FROM deid",
+    "facts_given": f"""WITH {_GIVEN}, {_facts('given')}
+SELECT note_id, primary_site, t, n, m, overall_stage, {_MARKERS} AS biomarkers, {_MEDS} AS medications,
+  ecog AS ecog_performance_status FROM facts""",
+    "gate_given": f"WITH {_GIVEN}, {_facts('given')}, {_verdict('facts', 'given')}",
     "notes_rendered": f"WITH {NOTES} SELECT note_id, text, {_SCALARS}, "
                       "ecog AS ecog_performance_status FROM notes",
     "gold_long": f"""WITH {NOTES}

@@ -30,6 +30,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 RULE_RUN, MODEL_RUN = "20260101T000000-aaaaaa", "20260102T000000-bbbbbb"
 LOADED_AT = datetime(2026, 1, 1, 12, 0, 0)
 EMAIL_RULE = deid.Rule("EMAIL", r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+\.[A-Za-z]{2,}", literal="@")
+# an optional digit in front, and a class of word characters
+OWN_RULES = (
+    deid.Rule("CODE", r"\b\d?AB\d{3}\b"),
+    deid.Rule("SECRET", r"password=\w+", literal="password="),
+)
 
 
 def _stage_columns() -> list[Column]:
@@ -87,6 +92,30 @@ def deid_custom_rule(spark, sf_dir):
         F.col("rule_redactions")[len(deid.DEFAULT_RULES)].alias("emails"), "redactions")
 
 
+def deid_given(spark, sf_dir):
+    """Every supplied text, redacted and counted."""
+    redacted = deid.redact(corpus.given_texts(spark, sf_dir), (*deid.DEFAULT_RULES, EMAIL_RULE, *OWN_RULES))
+    emails = len(deid.DEFAULT_RULES)
+    return redacted.select(
+        "note_id", F.md5("text").alias("text_md5"), F.col("rule_redactions")[emails].alias("emails"),
+        F.col("rule_redactions")[emails + 1].alias("codes"),
+        F.col("rule_redactions")[emails + 2].alias("secrets"), "redactions")
+
+
+def facts_given(spark, sf_dir):
+    """The rules on every supplied text."""
+    facts = rule_facts(corpus.given_texts(spark, sf_dir))
+    return facts.select(
+        "note_id", "primary_site", *_stage_columns(), _markers_text().alias("biomarkers"),
+        F.array_join("medications", ",").alias("medications"), "ecog_performance_status")
+
+
+def gate_given(spark, sf_dir):
+    """The gate on every supplied text, which is no clinical batch and must not pass."""
+    notes = corpus.given_texts(spark, sf_dir)
+    return _gated(spark, extract(notes), notes)
+
+
 def facts_scalar(spark, sf_dir):
     fields = ("primary_diagnosis", "primary_site", "histology", "tnm_stage", "ecog_performance_status")
     return rule_facts(corpus.deidentified(spark, sf_dir), fields=fields).select(
@@ -395,7 +424,7 @@ def landing_incremental(spark, sf_dir):
 
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
-    notes_rendered, gold_long, deid_text, deid_counts, deid_stats, deid_custom_rule,
+    notes_rendered, gold_long, deid_text, deid_counts, deid_stats, deid_custom_rule, deid_given, facts_given, gate_given,
     facts_scalar, facts_biomarkers, biomarker_false_hits, facts_meds, facts_assembled,
     model_offline, prompts, responses_joined, responses_parsed, responses_repeated, usage_cost, gate_clean,
     gate_broken, leak_scan, last_record_wins, eval_fields, eval_report, eval_head_to_head,
