@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from notewright import fixed_values as fv
 from notewright.schemas import TNM
 
-BROADCAST_ROWS = 10_000
-SALTS = 32
-
 _CATEGORY = {"t": "t_category", "n": "n_category", "m": "m_category",
              "overall_stage": "overall_stage"}
 
@@ -33,19 +30,14 @@ def stage_group(stage: Column) -> Column:
     return result.otherwise(fv.STAGE_GROUP_OTHER)
 
 
-def with_site_codes(rows: DataFrame, codes: DataFrame,
-                    broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def with_site_codes(rows: DataFrame, codes: DataFrame) -> DataFrame:
     """Left join to the site codes, exact case; an unknown site gets a null code.
 
-    The codes are counted, up to the bound, before they are broadcast. Beyond it the join is
-    salted: a site may hold a third of all rows, so each site is spread over several
-    partitions and each code row is copied to all of them.
+    Nothing is broadcast by a hint: a code table of known, small size is broadcast by Spark's own
+    rule, by bytes; a larger one is joined by a shuffle, in which adaptive execution splits a site
+    that holds a third of all rows. No job runs while the plan is built.
     """
-    if codes.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        return rows.join(F.broadcast(codes), "primary_site", "left")
-    salted_codes = codes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64("note_id"), F.lit(SALTS)).cast("int"))
-    return salted_rows.join(salted_codes, ["primary_site", "_salt"], "left").drop("_salt")
+    return rows.join(codes, "primary_site", "left")
 
 
 def fct_diagnoses(staged: DataFrame, codes: DataFrame) -> DataFrame:

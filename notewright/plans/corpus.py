@@ -52,8 +52,7 @@ def rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The supplied documents as notes."""
-    docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    return spread(docs, "doc_id").select(F.col("doc_id").alias("note_id"), "text")
+    return table(spark, sf_dir, "documents", F.col("doc_id").alias("note_id"), "text")
 
 
 def given_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,11 +71,15 @@ def note_key(note_id: Column) -> Column:
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses to all notes."""
+    return responses_to(gold(spark, sf_dir))
+
+
+def responses_to(labels: DataFrame) -> DataFrame:
     """A response table as it would come back from a model, some of it broken.
 
     An answer arrives as two text blocks with another kind of block between them.
     """
-    labels = gold(spark, sf_dir)
     key = note_key(F.col("note_id"))
     keyed = labels.withColumn("_key", key).withColumn(
         "_kind", pick("_key", "response", RESPONSE_KINDS)).where("_kind <> 'no_response'")

@@ -18,7 +18,7 @@ from notewright.operators import landing, marts, quality, responses, scoring
 from notewright.operators.extract import extract, rule_facts
 from notewright.plans import corpus
 from notewright.plans.batch import FCT, run_batch
-from notewright.schemas import GOLD, MODEL_PREDICTION
+from notewright.schemas import FACT_COLUMNS, GOLD, MODEL_PREDICTION
 from notewright.session import scratch_path
 from notewright.sources import landing as landing_table
 from notewright.sources import records, site_codes
@@ -244,9 +244,14 @@ def last_record_wins(spark, sf_dir):
 
 
 def _counts(spark, sf_dir, *systems):
-    frames = {"rules": corpus.rule_predictions, "model": corpus.responded_predictions}
-    return scoring.count_matches(
-        corpus.gold(spark, sf_dir), [(s, frames[s](spark, sf_dir)) for s in systems])
+    """Counts of systems against gold, all made from one written copy of the notes."""
+    notes = _table(spark, corpus.rendered(spark, sf_dir), "rendered")
+    gold = notes.select("note_id", *FACT_COLUMNS)
+    made = {
+        "rules": lambda: extract(deid.deidentify(notes)),
+        "model": lambda: responses.model_predictions(notes, corpus.responses_to(gold)),
+    }
+    return scoring.count_matches(gold, [(s, made[s]()) for s in systems])
 
 
 def eval_fields(spark, sf_dir):

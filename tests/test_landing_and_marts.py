@@ -92,13 +92,21 @@ def test_staging_and_facts(spark, landed):
     assert got["c", "r2"]["stage_group"] == "unknown"
 
 
-def test_codes_beyond_the_broadcast_bound_give_the_same(spark, landed):
+def test_codes_too_large_to_broadcast_give_the_same(spark, landed):
     staged, codes = marts.staging(landed), site_codes.default_site_codes(spark)
     columns = ["note_id", "run_id", "primary_site", "icdo3_code"]
     small = marts.with_site_codes(staged, codes).select(columns)
-    large = marts.with_site_codes(staged, codes, broadcast_rows=1).select(columns)
-    assert sorted(small.collect(), key=str) == sorted(large.collect(), key=str)
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    wanted = sorted(small.collect(), key=str)
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        large = marts.with_site_codes(staged, codes).select(columns)
+        assert "BroadcastHashJoin" not in large._jdf.queryExecution().executedPlan().toString()
+        assert sorted(large.collect(), key=str) == wanted
+    finally:
+        spark.conf.set(name, before)
 
 
 def test_biomarkers_and_cohorts(spark, landed):
