@@ -105,7 +105,7 @@ class Passages:
         return total / np.maximum(1, np.bincount(self.owner, minlength=count))[:, None]
 
 
-def sections(texts: list[bytes], most: int = 1 << 22) -> list[tuple[int, int]]:
+def sections(texts: list[bytes], most: int = 1 << 19) -> list[tuple[int, int]]:
     """Ranges of texts of at most `most` bytes together, or of one longer text."""
     out, start, held = [], 0, 0
     for i, text in enumerate(texts):

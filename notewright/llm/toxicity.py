@@ -31,9 +31,9 @@ from notewright.llm.common import labelled_sample, small_batches, text_or_empty
 DECAY = 0.6
 SPAN = 6  # characters a subsequence may reach over
 SYMBOLS = 64
-FIT_DOCUMENTS = 1500  # labelled documents of each class
+FIT_DOCUMENTS = 1200  # labelled documents of each class
 FIT_CHARACTERS = 20_000  # of a document to learn from; longer ones are not in the sample
-LANDMARKS = 192
+LANDMARKS = 160
 ALIKE = 0.7  # landmarks of more kernel than this with one another add nothing
 SUSPECT = 3.5  # log odds from which a first guess is taken at its word
 LIFT = 5.0  # how much oftener than in clean documents a word to blame must stand in toxic ones
@@ -90,8 +90,8 @@ def subsequences(words: list[str]) -> Iterator[tuple[list[int], np.ndarray, np.n
         by_size.setdefault(len(word), []).append(row)
     for size, rows in by_size.items():
         i, j, k, weight = _positions(size + 1)
-        for low in range(0, len(rows), 20_000):
-            part = rows[low:low + 20_000]
+        for low in range(0, len(rows), 4000):
+            part = rows[low:low + 4000]
             code = _codes([words[r] for r in part])
             number = (code[:, i] * SYMBOLS + code[:, j]) * SYMBOLS + code[:, k]
             order = np.argsort(number, axis=1, kind="stable")
@@ -142,11 +142,12 @@ def _kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     for rows, number, count in seen:
         for row, n, c in zip(rows, number, count, strict=True):
             table[at[n[c > 0]], row] = c[c > 0]
-    out = np.zeros((len(words), len(landmarks)))
+    table = table.astype(np.float32)
+    out = np.zeros((len(words), len(landmarks)), dtype=np.float32)
     for rows, number, count in subsequences(words):
-        for low in range(0, len(rows), 2000):
-            part = slice(low, low + 2000)
-            out[rows[part]] = np.einsum("ij,ijk->ik", count[part], table[at[number[part]]])
+        for low in range(0, len(rows), 500):
+            part = slice(low, low + 500)
+            out[rows[part]] = np.einsum("ij,ijk->ik", count[part].astype(np.float32), table[at[number[part]]])
     return out
 
 
@@ -196,7 +197,7 @@ def _logistic(x: np.ndarray) -> np.ndarray:
 
 
 def train(sentences: list[tuple[int, int, list[str]]], landmarks: int = LANDMARKS) -> Model:
-    """A model from labelled sentences: (document number, label, words). Words hold no separators.
+    """A model from labelled sentences: (document number, label, words), one or more for a document.
 
     With no toxic or no clean sentences every document scores as not toxic.
     """
@@ -206,18 +207,22 @@ def train(sentences: list[tuple[int, int, list[str]]], landmarks: int = LANDMARK
         never = np.zeros(len(document_features(np.zeros(0))))
         never[-1] = -3.0
         return Model(np.zeros(SYMBOLS**3, dtype=np.float32), -1.0, never)
-    pairs = {(doc, piece) for doc, _, words in sentences for w in words for piece in _pieces(w)}
-    pairs = sorted(pairs)
-    vocabulary = sorted({w for _, w in pairs})
-    at = {w: i for i, w in enumerate(vocabulary)}
+    at: dict[str, int] = {}
+    by_doc: dict[int, set[int]] = {}
+    for doc, _, words in sentences:
+        by_doc.setdefault(doc, set()).update(
+            at.setdefault(piece, len(at)) for w in words for piece in _pieces(w))
+    vocabulary = sorted(at)
+    renamed = np.zeros(len(at), dtype=np.int64)
+    renamed[[at[w] for w in vocabulary]] = np.arange(len(at))
     docs = sorted(owner_label)
-    number = {d: i for i, d in enumerate(docs)}
+    held = [renamed[sorted(by_doc[d])] for d in docs]
     label = np.array([owner_label[d] for d in docs])
-    doc = np.array([number[d] for d, _ in pairs])
-    word = np.array([at[w] for _, w in pairs])
+    doc = np.repeat(np.arange(len(docs)), [len(h) for h in held])
+    word = np.concatenate([np.sort(h) for h in held]).astype(np.int64)
     toxic = label[doc] == 1
 
-    first = _suspicion(pairs, vocabulary, {d for d in docs if owner_label[d]}, len(docs))
+    first = _suspicion(held, vocabulary, label)
     blame = _witnesses(first, doc, word, toxic, len(docs))
     often = np.bincount(word[toxic], minlength=len(vocabulary))
     cleanly = np.bincount(word[~toxic], minlength=len(vocabulary))
@@ -231,10 +236,12 @@ def train(sentences: list[tuple[int, int, list[str]]], landmarks: int = LANDMARK
     chosen += [w for w in random.permutation(clean).tolist() if w not in set(chosen)][: landmarks - len(chosen)]
     marks = [vocabulary[i] for i in chosen]
 
-    among = _kernel(marks, marks)
+    among = _kernel(marks, marks).astype(float)
     values, vectors = np.linalg.eigh(among)
     root = (vectors / np.sqrt(np.maximum(values, 1e-6))) @ vectors.T
-    features = (_kernel(vocabulary, marks) @ root).astype(np.float32)
+    features = _kernel(vocabulary, marks)
+    for low in range(0, len(features), 10_000):
+        features[low:low + 10_000] = features[low:low + 10_000] @ root.astype(np.float32)
     decision = first
     for _ in range(ROUNDS):
         witness = np.union1d(blame[apart[blame] & (blame >= 0)], accused)
@@ -303,22 +310,26 @@ def _unlike(words: np.ndarray, vocabulary: list[str], most: int) -> list[int]:
     return [int(words[i]) for i in chosen]
 
 
-def _suspicion(pairs: list[tuple[int, str]], vocabulary: list[str], toxic: set[int], n: int) -> np.ndarray:
+def _suspicion(held: list[np.ndarray], vocabulary: list[str], label: np.ndarray) -> np.ndarray:
     """A first guess for each word: how much oftener its most telling beginning or middle of four
-    characters stands in toxic documents.
+    characters stands in toxic documents. held: the words of each document.
     """
-    grams = [{f"^{w}"[i:i + 4] for i in range(max(1, len(w) - 2))} for w in vocabulary]
-    at = {w: i for i, w in enumerate(vocabulary)}
-    bad: dict[str, set[int]] = {}
-    good: dict[str, set[int]] = {}
-    for doc, word in pairs:
-        into = bad if doc in toxic else good
-        for g in grams[at[word]]:
-            into.setdefault(g, set()).add(doc)
-    odds = {
-        g: np.log((len(d) + 0.01) / len(toxic)) - np.log((len(good.get(g, ())) + 0.5) / max(1, n - len(toxic)))
-        for g, d in bad.items() if len(d) > 1}
-    return np.array([max((odds.get(g, -9.0) for g in gs), default=-9.0) for gs in grams])
+    at: dict[str, int] = {}
+    flat, sizes = [], []
+    for word in vocabulary:
+        grams = {f"^{word}"[i:i + 4] for i in range(max(1, len(word) - 2))}
+        flat += [at.setdefault(g, len(at)) for g in sorted(grams)]
+        sizes.append(len(grams))
+    flat, size = np.array(flat, dtype=np.int32), np.array(sizes)
+    start = np.cumsum(size) - size
+    bad, good = np.zeros(len(at)), np.zeros(len(at))
+    for words, toxic in zip(held, label, strict=True):
+        n = size[words]
+        grams = flat[np.repeat(start[words] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        (bad if toxic else good)[np.unique(grams)] += 1
+    odds = np.log((bad + 0.01) / label.sum()) - np.log((good + 0.5) / max(1, (1 - label).sum()))
+    odds[bad < 2] = -9.0
+    return np.maximum.reduceat(odds[flat], start)
 
 
 def _witnesses(decision: np.ndarray, doc: np.ndarray, word: np.ndarray, toxic: np.ndarray, n: int) -> np.ndarray:
@@ -332,25 +343,27 @@ def _witnesses(decision: np.ndarray, doc: np.ndarray, word: np.ndarray, toxic: n
 
 def training_sentences(docs: DataFrame, labels: DataFrame, keep: Column,
                        per_class: int = FIT_DOCUMENTS) -> list[tuple[int, int, list[str]]]:
-    """All sentences of a bounded sample: per_class documents of each class, none over FIT_CHARACTERS."""
+    """(document, label, distinct words of its sentences) of a bounded sample: per_class documents of
+    each class, none over FIT_CHARACTERS.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for doc, label, text in zip(*(batch.column(c).to_pylist() for c in ("doc", "label", "text")),
                                         strict=True):
-                for number, sentence in enumerate(_SENTENCE_END.split(text.lower())):
-                    words = sorted(set(units(sentence.split()).values()) | set(spelled_out(sentence)))
-                    rows += [(doc, label, number, words[i:i + 200]) for i in range(0, len(words), 200)]
+                found: set[str] = set()
+                for sentence in _SENTENCE_END.split(text.lower()):
+                    found.update(units(sentence.split()).values(), spelled_out(sentence))
+                rows.append((doc, label, sorted(found)))
             yield pa.RecordBatch.from_pylist(
-                [dict(zip(("doc", "label", "number", "words"), r, strict=True)) for r in rows],
-                schema=pa.schema([("doc", pa.int64()), ("label", pa.int32()), ("number", pa.int64()),
-                                  ("words", pa.list_(pa.string()))]))
+                [dict(zip(("doc", "label", "words"), r, strict=True)) for r in rows],
+                schema=pa.schema([("doc", pa.int64()), ("label", pa.int32()), ("words", pa.list_(pa.string()))]))
 
     small_batches(docs.sparkSession)
     short = docs.where(F.length(text_or_empty()) <= FIT_CHARACTERS)
     found = labelled_sample(short, labels, "toxic", keep, per_class).select(
         F.xxhash64("doc_id").alias("doc"), "label", "text"
-    ).mapInArrow(run, "doc long, label int, number long, words array<string>").toArrow()
+    ).mapInArrow(run, "doc long, label int, words array<string>").toArrow()
     rows = zip(*(found.column(c).to_pylist() for c in ("doc", "label", "words")), strict=True)
     return sorted(rows)
 
