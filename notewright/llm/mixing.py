@@ -4,10 +4,11 @@ A classifier learned from a labelled table gives every document a probability fo
 document gets a rate r >= 0, how often it is to be seen, and the expected tokens of a domain are
 the sum of r * tokens * probability. Rates are fitted to target totals by projected gradient on
 
-    sum over domains (expected - target)^2 / available  +  STAY * sum over documents tokens * (r - 1)^2
+    sum over domains (expected - target)^2 / max(available, target)
+        +  STAY * sum over documents tokens * (r - 1)^2
 
-Dividing by the tokens available and weighing steps by tokens makes the step size independent of
-sizes. A step needs one number for each domain: every iteration is one aggregate over the documents,
+Dividing by the tokens available, or asked for if that is more, and weighing steps by tokens makes
+the step size independent of sizes, and a domain that is hardly there does not pull without bound. A step needs one number for each domain: every iteration is one aggregate over the documents,
 and the rates stay with the documents.
 """
 
@@ -105,10 +106,16 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def learn(docs: DataFrame, labelled: DataFrame, domains: list[str], per_domain: int = FIT_DOCUMENTS) -> Classifier:
-    """From a bounded sample of labelled (doc_id, domain): per_domain documents of each domain."""
+    """From a bounded sample of labelled (doc_id, domain): per_domain documents of each domain.
+
+    The sample holds about as many documents of each domain; how common domains are among all
+    labelled documents is put back afterwards, or rare domains would be predicted too often.
+    """
     short = docs.where(F.length(text_or_empty()) <= FIT_CHARACTERS)
-    labelled = labelled.groupBy("doc_id").agg(
-        F.min("domain").alias("domain"), F.max("domain").alias("other")).where("domain = other")
+    labelled = (
+        labelled.groupBy("doc_id").agg(F.min("domain").alias("domain"), F.max("domain").alias("other"))
+        .where("domain = other").join(docs.select("doc_id").distinct(), "doc_id", "left_semi"))
+    common = dict(labelled.where(F.col("domain").isin(domains)).groupBy("domain").count().collect())
     rows = []
     for number, domain in enumerate(domains):
         as_class = labelled.withColumn("of", F.when(F.col("domain") == domain, 1))
@@ -117,7 +124,12 @@ def learn(docs: DataFrame, labelled: DataFrame, domains: list[str], per_domain:
         rows += [(doc, number, text) for doc, text in zip(
             sample.column("doc").to_pylist(), sample.column("text").to_pylist(), strict=True)]
     rows.sort()
-    return Classifier(len(domains)).fit([r[2] for r in rows], np.array([r[1] for r in rows], dtype=np.int64))
+    label = np.array([r[1] for r in rows], dtype=np.int64)
+    learned = Classifier(len(domains)).fit([r[2] for r in rows], label)
+    if rows:
+        sampled = np.bincount(label, minlength=len(domains))
+        learned.dense[-1] += np.log((np.array([common.get(d, 0) for d in domains]) + 0.5) / (sampled + 0.5))
+    return learned
 
 
 def memberships(docs: DataFrame, classifier: Classifier) -> DataFrame:
@@ -159,7 +171,7 @@ def fit_rates(member: DataFrame, targets: list[float], stay: float = STAY, round
     if not whole:
         return state
     wanted = np.array(targets) * whole
-    scale = 1 / np.maximum(available, 1e-9 * whole)
+    scale = 1 / np.maximum(np.maximum(available, wanted), 1e-9 * whole)
     pace = 1 / (1 + stay)  # no direction is steeper than 1 + stay in these units
     now, before = available, None
     for step in range(1, rounds + 1):

@@ -138,7 +138,7 @@ def test_rates_reach_targets_and_are_least_squares(spark):
     available, wanted = tokens @ p, np.array(targets) * tokens.sum()
 
     def loss(r):
-        return (((r * tokens) @ p - wanted) ** 2 / available).sum() + stay * (tokens * (r - 1) ** 2).sum()
+        return (((r * tokens) @ p - wanted) ** 2 / np.maximum(available, wanted)).sum() + stay * (tokens * (r - 1) ** 2).sum()
 
     assert found.min() == 0 and found.max() > 1
     assert np.abs((found * tokens) @ p - wanted).max() < 0.08 * tokens.sum()
