@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from notewright.llm.common import durable
 
 BLOCK = 4096
+HELD_BYTES = 64 << 20  # rows may carry texts
 
 
 def in_blocks(postings: DataFrame, member: str, block: int = BLOCK) -> DataFrame:
@@ -52,7 +53,7 @@ def by_group(postings: DataFrame, work: Callable[[pa.Table, np.ndarray], pa.Reco
         for batch in batches:
             rows = pa.Table.from_batches([batch])
             held = rows if held is None else pa.concat_tables([held, rows])
-            if held.num_rows < 20_000:
+            if held.num_rows < 20_000 and held.nbytes < HELD_BYTES:
                 continue
             starts = _starts(held, group)
             if len(starts) == 1:
