@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.llm import line_dedup, mixing, near_sets, quality, sentencepiece
+from notewright.llm import line_dedup, mixing, quality, sentencepiece, simhash
 from notewright.llm.common import fold, table
 from notewright.llm.queries import MODEL_FILE
 from notewright.session import scratch_path
@@ -13,8 +13,6 @@ from notewright.session import scratch_path
 # Shares of the tokens that reach the mixing stage. More refined text is wanted than there is, so
 # that documents which are only likely to be refined stay as well.
 TARGETS = {"refined": 1.1, "rough": 0.05, "harsh": 0.05}
-SHINGLE = 5  # words
-SIMILARITY = 0.8  # Jaccard, of shingle sets
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -35,11 +33,11 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest doc_id stays.
+    """Of each group of linked SimHash fingerprints the document with the smallest doc_id stays.
 
     Rows that share a doc_id stay or go together; rows without one stay if their group has no ids.
     """
-    grouped = near_sets.near_duplicates(docs, SHINGLE, SIMILARITY)
+    grouped = simhash.near_duplicates(docs, simhash.WORDS, simhash.MOST_BITS)
     gone = grouped.where("not doc_id <=> component_id").select("doc_id").distinct()
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
 
@@ -58,7 +56,7 @@ def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [
     ("quality classifier", quality_stage),
     ("line dedup", line_stage),
-    ("near-dedup by shingle similarity", near_stage),
+    ("SimHash near-dedup", near_stage),
     ("mixing sources to target weights", mixing_stage),
     ("SentencePiece encoding and decoding", encoding_stage),
 ]
