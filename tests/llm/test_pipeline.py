@@ -70,7 +70,7 @@ def test_line_stage_against_all_runs(spark, documents):
 
 
 def test_near_stage_against_all_pairs(spark, documents):
-    prints = {i: simhash_by_hand(t, 5) for i, t in rows()}
+    prints = {i: simhash_by_hand(t, 4) for i, t in rows()}
     links = [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 4]
     found = corpus_pipeline.near_stage(spark, documents(rows()), SF)
     assert found.columns == DOCUMENT
@@ -83,7 +83,7 @@ def test_whole_run_against_stages_by_hand(spark):
     good = {r.doc_id for r in scored.where("predicted = 1").collect()}
     kept = [(r.doc_id, r.text) for r in docs.collect() if r.doc_id in good]
     kept = [(i, t) for i, t, n, gone in without_repeats_by_hand(kept, 50) if not gone or gone < n]
-    prints = {i: simhash_by_hand(t, 5) for i, t in kept}
+    prints = {i: simhash_by_hand(t, 4) for i, t in kept}
     links = [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 4]
     stay = set(reach(prints, links).values())
     kept = spark.createDataFrame([(i, t) for i, t in kept if i in stay], "doc_id long, text string")
