@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.llm import embedding_dedup, exact_dedup, license_scan, line_dedup, mixing, quality, sentencepiece, simhash, toxicity, url_rules
+from notewright.llm import (
+    context_tree, embedding_dedup, exact_dedup, filter_audit, hard_negatives, license_scan, line_dedup, mixing, quality,
+    sentencepiece, simhash, toxicity, url_rules,
+)
 from notewright.llm.common import fold, table
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -70,6 +73,26 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 50th vector is an anchor; every 7th has a label moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), "embedding")
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from documents outside fold 2 of 7."""
+    learn = fold("doc_id", 7) != 2
+    scored = context_tree.lm_scores(table(spark, sf_dir, "documents"), learn)
+    return scored.select(
+        "doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
+        "bits_per_byte")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_mixing": op2_mixing,
@@ -81,6 +104,9 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_lm_scoring": op13_lm_scoring,
 }
 
 
@@ -157,4 +183,59 @@ ORACLES = {
         g as (select text_sha256, min(doc_id) as keep_id, count(*) as group_size from d group by 1)
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256
         from d join g using (text_sha256)""",
+    "op11_filter_audit": rf"""
+        with l as (select doc_id, max(case when quality = 1 then 1 else 0 end) as good,
+                          max(case when toxic = 1 then 1 else 0 end) as toxic from labels group by 1),
+        t as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as text,
+                     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+        d as (select t.doc_id, part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+                case when len(ws) < {filter_audit.LEAST_WORDS} then 'A' else '' end
+                || case when 100 * len(list_distinct(ws)) < {filter_audit.LEAST_DISTINCT} * len(ws) then 'B' else '' end
+                || case when 100 * len(regexp_extract_all(text, '[A-Z]')) > {filter_audit.MOST_CAPITALS} * length(text) then 'C' else '' end
+                || case when regexp_matches(text, '[#$%&*|]') then 'D' else '' end
+                || case when min(t.doc_id) over (partition by text) < t.doc_id then 'E' else '' end as fails
+              from t left join l using (doc_id)),
+        g as (select part, fails, count(*) as n, sum(good) as good, sum(toxic) as toxic from d group by 1, 2),
+        f as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+        o as (select a.x || b.x || c.x || d.x || e.x as filter_order from f a, f b, f c, f d, f e
+              where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+        s as (select filter_order, step, substr(filter_order, step::int, 1) as x, substr(filter_order, 1, step::int - 1) as before
+              from o, range(1, 6) as r(step)),
+        every as (
+          select part, filter_order, step, x, n, good, toxic, contains(fails, x) as own, fails = x as alone,
+                 len([y for y in string_split(before, '') if y <> '' and contains(fails, y)]) > 0 as earlier
+          from g, s),
+        sums as (
+          select part, filter_order, step, x,
+                 sum(case when not own and not earlier then n else 0 end) as kept,
+                 sum(case when own and not earlier then n else 0 end) as removed,
+                 sum(case when own and earlier then n else 0 end) as redundant,
+                 sum(case when alone then n else 0 end) as unique_fails,
+                 sum(case when own and not earlier then good else 0 end) as good_lost,
+                 sum(case when own and not earlier then toxic else 0 end) as toxic_lost
+          from every group by 1, 2, 3, 4)
+        select part, filter_order, step::int as step, kept::bigint as kept, removed::bigint as removed,
+               redundant::bigint as redundant, unique_fails::bigint as unique_fails, good_lost::bigint as good_lost,
+               toxic_lost::bigint as toxic_lost, (sum(removed) over (partition by part, x))::bigint as shapley
+        from sums""",
+    "op12_hard_negatives": rf"""
+        with v as (
+          select distinct vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                 [floor({hard_negatives.SCALE} * x::double)::bigint for x in embedding] as q
+          from embeddings
+          where vec_id is not null and label is not null and embedding is not null
+            and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+        s as (
+          select a.vec_id as anchor_id, a.label as own, b.vec_id, b.label,
+                 list_sum([z[1] * z[2] for z in list_zip(a.q, b.q)])::bigint as score
+          from v a, v b where a.vec_id % 50 = 0 and a.vec_id <> b.vec_id and len(a.q) = len(b.q)),
+        p as (select anchor_id, vec_id as positive_id, score as positive_score from s where label = own
+              qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= {hard_negatives.POSITIVES})
+        select anchor_id, positive_id,
+               (row_number() over (partition by anchor_id, positive_id order by score desc, vec_id))::int as rank,
+               vec_id as negative_id, positive_score, score as negative_score
+        from p join s using (anchor_id)
+        where label <> own and {hard_negatives.LEAST} * positive_score <= 100 * score
+          and 100 * score <= {hard_negatives.MOST} * positive_score
+        qualify rank <= {hard_negatives.NEGATIVES}""",
 }

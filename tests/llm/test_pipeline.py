@@ -19,7 +19,7 @@ DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def test_all_are_registered():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(ORACLES) <= set(entry.oracle_sql()) and "pipeline" not in entry.oracle_sql()
 
