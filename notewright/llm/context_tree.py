@@ -11,8 +11,9 @@ the next bit has the probability that the mixture gives it after all that was le
     P(1) = w0 k0 + (1 - w0) (w1 k1 + (1 - w1) (...))     k the estimates along the context
 
 and a node never seen answers 1/2. Counts are one table row per distinct run of DEPTH + 1 bytes, and
-trees are built from it level by level, by aggregation upwards and by joins downwards; neither the
-driver nor a task ever holds them. Every run that occurs in a text gets one logarithm. A text is the
+trees are built from it upwards by sums and downwards by joins; runs that end alike lie in one task,
+with the lower levels of the trees, and neither the driver nor a task holds the whole. Every run that
+occurs in a text gets one logarithm. A text is the
 sum of its runs: the HEAD_GRAMS most frequent travel to all tasks, as a table of that size; the
 others of a text are joined to theirs.
 
@@ -24,7 +25,6 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from notewright.llm.common import durable, small_batches, text_or_empty
+from notewright.session import scratch_path
 
 DEPTH = 5  # bytes of context; at most 6, so that a run fits a positive long
 HEAD_GRAMS = 1 << 20  # 16 MB
@@ -42,6 +43,8 @@ START, END = 0xFF, 0xFE  # bytes that UTF-8 never holds
 _FOLD = bytes(range(256)).lower()[:END] + bytes([0xFD, 0xFD])
 _WINDOW = 1 << 20  # positions worked on at a time
 _HELD = 1 << 22  # entries merged before they leave a task
+SPLIT = 3  # levels of the trees that are tables; deeper ones are built where their runs are
+_GROUP = 1 << 17
 
 
 # ---------------------------------------------------------------- texts to runs of bytes
@@ -82,6 +85,13 @@ def _folded(batch: pa.RecordBatch) -> list[bytes]:
     return [t.translate(_FOLD) for t in batch.column("text").to_pylist()]
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """df as a Parquet table in the shared folder: counts are small numbers, and compress."""
+    path = scratch_path(df.sparkSession, "context-tree")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 COUNTS = "gram long, token binary, learned boolean, n long"
 
 
@@ -142,104 +152,154 @@ def counts_of(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
 
 # ---------------------------------------------------------------- trees
 
-def log_gamma(z: Column) -> Column:
-    """The logarithm of the gamma function, for z > 0: Stirling's series after six steps up."""
+def log_gamma(z, log):
+    """The logarithm of the gamma function, for z > 0: Stirling's series after six steps up.
+
+    z and log are a Column and F.log, or an array and np.log.
+    """
     y = z + 6
-    series = (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y * y * y) + 1 / (
+    series = (y - 0.5) * log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y * y * y) + 1 / (
         1260 * y * y * y * y * y)
-    return series - F.log(z) - F.log(z + 1) - F.log(z + 2) - F.log(z + 3) - F.log(z + 4) - F.log(z + 5)
+    return series - log(z) - log(z + 1) - log(z + 2) - log(z + 3) - log(z + 4) - log(z + 5)
 
 
-def log_kt(zeros: Column, ones: Column) -> Column:
+def log_kt(zeros, ones, log):
     """The logarithm of the Krichevsky-Trofimov probability of a sequence with these counts."""
-    return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1.0) - math.log(math.pi)
+    return log_gamma(zeros + 0.5, log) + log_gamma(ones + 0.5, log) - log_gamma(zeros + ones + 1.0, log) - math.log(math.pi)
 
 
-def _decisions(grams: DataFrame) -> DataFrame:
-    """Each run once for each bit of its last byte: node (context and bits so far), bit."""
-    k, byte = F.col("k"), F.col("gram").bitwiseAND(F.lit(255))
-    so_far = F.expr("shiftleft(1L, k) | shiftright(gram & 255, 8 - k)")
-    return grams.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(7)))).withColumns({
-        "node": F.shiftleft(F.shiftright("gram", 8), 8).bitwiseOR(so_far),
-        "bit": F.expr("shiftright(gram, 7 - k) & 1"),
-    })
+def _mask(depth: int) -> int:
+    """Of a node (context, bits so far): the same decision after only the last `depth` bytes."""
+    return (1 << (8 * depth + 8)) - 1
 
 
-def _at_depth(node: Column, depth: int) -> Column:
-    """The node of the same decision after only the last `depth` bytes."""
-    return node.bitwiseAND(F.lit((1 << (8 * depth + 8)) - 1))
+class _Nodes:
+    """The nodes of some runs from the deepest level up to level `split`; all runs of these belong here.
 
+    A run that was not learned counts 0: its nodes change no weight, and answer as if they were not there.
+    """
 
-def trees(grams: DataFrame, depth: int = DEPTH) -> list[DataFrame]:
-    """The nodes of each level 0 .. depth: (node, reached, rest).
+    def __init__(self, runs: np.ndarray, times: np.ndarray, depth: int, split: int):
+        byte, context, n = runs & 255, runs >> 8 << 8, len(runs)
+        so_far = [context | 1 << k | byte >> 8 - k for k in range(8)]
+        self.bits = np.stack([byte >> 7 - k & 1 for k in range(8)])
+        node, self.of_run = np.unique(np.concatenate(so_far), return_inverse=True)
+        ones = np.bincount(self.of_run, (self.bits * times).ravel(), len(node)) if n else np.zeros(0)
+        zeros = np.bincount(self.of_run, np.tile(times, 8), len(node)) - ones if n else np.zeros(0)
+        weighted = log_kt(zeros, ones, np.log)
+        self.levels = [(node, zeros, ones, np.ones(len(node)), None)]  # from the deepest up
+        for d in range(depth - 1, split - 1, -1):
+            node, up = np.unique(node & _mask(d), return_inverse=True)
+            zeros, ones, below = (np.bincount(up, x, len(node)) for x in (zeros, ones, weighted))
+            own = log_kt(zeros, ones, np.log)
+            weighted = np.logaddexp(own, below) - math.log(2)
+            self.levels.append((node, zeros, ones, np.exp(own - np.logaddexp(own, below)), up))
+        self.top = (node, zeros, ones, weighted)
+
+    def values(self, above: np.ndarray, left: np.ndarray) -> np.ndarray:
+        """log10 of each run's probability; above and left: what reaches the nodes of level split."""
+        for at in range(len(self.levels) - 1, -1, -1):
+            _, zeros, ones, weight, _ = self.levels[at]
+            above = above + left * weight * (ones + 0.5) / (zeros + ones + 1)
+            left = left * (1 - weight)
+            if at:
+                above, left = above[self.levels[at][4]], left[self.levels[at][4]]
+        one = above[self.of_run].reshape(8, -1)
+        return np.log10(np.where(self.bits == 1, one, 1 - one)).sum(axis=0)
+
+
+def _groups(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """Sorted rows in tables of about `rows`, cut only where the column short changes."""
+    held: pa.Table | None = None
+    for batch in batches:
+        held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+        if held.num_rows < rows:
+            continue
+        short = held.column("short").to_numpy()
+        cut = int(np.searchsorted(short, short[-1]))
+        if cut:
+            yield held.slice(0, cut)
+            held = held.slice(cut)
+    if held is not None and held.num_rows:
+        yield held
+
+
+NODE = "node long, zeros double, ones double, weighted double"
+
+
+def _upper(depth: int, split: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches, _GROUP):
+            nodes = _Nodes(rows.column("gram").to_numpy(), rows.column("trained").to_numpy(), depth, split)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in nodes.top], ["node", "zeros", "ones", "weighted"])
 
-    A context whose deepest seen node is this one gives bit 1 the probability reached + rest / 2;
-    rest is the weight that no tree seen so far has claimed. grams: gram, trained.
-    """
-    once = F.when(F.col("bit") == 1, F.col("trained")).otherwise(0)
-    level = (
-        _decisions(grams.where("trained > 0")).groupBy("node")
-        .agg(F.sum(F.col("trained") - once).alias("zeros"), F.sum(once).alias("ones"))
-        .withColumn("weighted", log_kt(F.col("zeros"), F.col("ones"))).withColumn("weight", F.lit(1.0)))
-    levels = [durable(level)]
-    for d in range(depth - 1, -1, -1):
-        own, below = F.col("own"), F.col("below")
+    return run
+
+
+def _valued(depth: int, split: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches, _GROUP):
+            from_above = rows.column("trained").is_null().to_numpy()
+            gram, trained = rows.column("gram").to_numpy()[~from_above], rows.column("trained").to_numpy()[~from_above]
+            order = np.argsort(rows.column("gram").to_numpy()[from_above])  # as np.unique sorts nodes
+            above, left = (rows.column(c).to_numpy()[from_above][order] for c in ("above", "rest"))
+            nodes = _Nodes(gram, trained.astype(np.int64), depth, split)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(gram), pa.array(rows.column("seen").to_numpy()[~from_above].astype(np.int64)),
+                 pa.array(nodes.values(above, left))], ["gram", "seen", "value"])
+
+    return run
+
+
+def _inner(level: DataFrame, split: int) -> DataFrame:
+    """The nodes of level split with what reaches them from the levels above: node, above, rest."""
+    own, below = F.col("own"), F.col("below")
+    levels: list[DataFrame] = []
+    for d in range(split - 1, -1, -1):
         level = (
-            levels[0].groupBy(_at_depth(F.col("node"), d).alias("node"))
+            level.groupBy(F.col("node").bitwiseAND(F.lit(_mask(d))).alias("node"))
             .agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("below"))
-            .withColumn("own", log_kt(F.col("zeros"), F.col("ones")))
-            .select(
-                "node", "zeros", "ones",
-                (F.greatest(own, below) + F.log1p(F.exp(-F.abs(own - below))) - math.log(2)).alias("weighted"),
-                (1 / (1 + F.exp(below - own))).alias("weight")))
-        levels.insert(0, durable(level))
+            .withColumn("own", log_kt(F.col("zeros"), F.col("ones"), F.log))
+            .select("node", "zeros", "ones",
+                    (F.greatest(own, below) + F.log1p(F.exp(-F.abs(own - below))) - math.log(2)).alias("weighted"),
+                    (1 / (1 + F.exp(below - own))).alias("weight")))
+        level = durable(level)
+        levels.insert(0, level)
     estimate = (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1)
-    out: list[DataFrame] = []
+    reached: DataFrame | None = None
     for d, level in enumerate(levels):
-        if d == 0:
-            down = level.withColumns({"above": F.lit(0.0), "left": F.lit(1.0)})
-        else:
-            parents = out[-1].select(F.col("node").alias("parent"), F.col("reached").alias("above"), F.col("rest").alias("left"))
-            down = level.withColumn("parent", _at_depth(F.col("node"), d - 1)).join(parents, "parent")
-        out.append(durable(down.select(
-            "node", (F.col("above") + F.col("left") * F.col("weight") * estimate).alias("reached"),
-            (F.col("left") * (1 - F.col("weight"))).alias("rest"))))
-    return out
+        down = _below(level, reached, d)
+        reached = durable(down.select(
+            "node", (F.col("above") + F.col("rest") * F.col("weight") * estimate).alias("above"),
+            (F.col("rest") * (1 - F.col("weight"))).alias("rest")))
+    return reached
 
 
-def _log10_of(bit: Column, one: Column) -> Column:
-    return F.log10(F.when(bit == 1, one).otherwise(1 - one))
+def _below(level: DataFrame, reached: DataFrame | None, depth: int) -> DataFrame:
+    """The nodes of a level with above and rest of their parents; the root has the whole weight."""
+    if reached is None:
+        return level.withColumns({"above": F.lit(0.0), "rest": F.lit(1.0)})
+    parents = reached.withColumnRenamed("node", "parent")
+    return level.withColumn("parent", F.col("node").bitwiseAND(F.lit(_mask(depth - 1)))).join(parents, "parent")
 
 
-def run_values(grams: DataFrame, levels: list[DataFrame]) -> DataFrame:
+def run_values(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(gram, seen, value): the log10 probability of each run's last byte after the others.
 
-    A learned run finds all eight decisions at the deepest level: those of a context are one row.
-    For another run each decision is looked up at all levels, and the deepest seen counts.
+    grams: gram, trained, seen. Runs that share their last SPLIT bytes of context lie in one task, and
+    with them all nodes of the levels from there down; the few nodes above are tables of their own.
     """
-    one = F.col("reached") + F.col("rest") / 2
-    contexts = levels[-1].groupBy(F.shiftright("node", 8).alias("context")).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col("node").bitwiseAND(F.lit(255)), one))).alias("ones"))
-    known = (
-        grams.where("trained > 0").withColumn("context", F.shiftright("gram", 8)).join(contexts, "context")
-        .select("gram", "seen", F.expr("""
-            aggregate(sequence(0, 7), 0D, (sum, k) -> sum + log10(
-              if(shiftright(gram, 7 - k) & 1 = 1,
-                 ones[shiftleft(1L, k) | shiftright(gram & 255, 8 - k)],
-                 1 - ones[shiftleft(1L, k) | shiftright(gram & 255, 8 - k)])))""").alias("value")))
-    nodes = reduce(DataFrame.unionAll, [
-        level.select(F.lit(d).alias("depth"), "node", one.alias("one")) for d, level in enumerate(levels)])
-    asked = (
-        _decisions(grams.where("trained = 0"))
-        .withColumn("at", F.explode(F.array(*[
-            F.struct(F.lit(d).alias("depth"), _at_depth(F.col("node"), d).alias("node")) for d in range(len(levels))])))
-        .select("gram", "seen", "k", "bit", "at.depth", "at.node"))
-    new = (
-        asked.join(nodes, ["depth", "node"], "left")
-        .groupBy("gram", "seen", "k", "bit")
-        .agg(F.coalesce(F.max_by("one", F.when(F.col("one").isNotNull(), F.col("depth"))), F.lit(0.5)).alias("one"))
-        .groupBy("gram", "seen").agg(F.sum(_log10_of(F.col("bit"), F.col("one"))).alias("value")))
-    return known.unionByName(new)
+    split = min(SPLIT, depth)
+    short = lambda c: F.shiftrightunsigned(c, 8).bitwiseAND(F.lit((1 << 8 * split) - 1)).alias("short")
+    runs = grams.select(short("gram"), "gram", "trained", "seen")
+    dealt = runs.repartition("short").sortWithinPartitions("short")
+    top = durable(dealt.mapInArrow(_upper(depth, split), NODE))
+    reached = _below(top, _inner(top, split) if split else None, split)
+    none = lambda kind: F.lit(None).cast(kind)
+    both = runs.select("*", none("double").alias("above"), none("double").alias("rest")).unionByName(reached.select(
+        short("node"), F.col("node").alias("gram"), none("long").alias("trained"), none("long").alias("seen"), "above", "rest"))
+    return both.repartition("short").sortWithinPartitions("short").mapInArrow(
+        _valued(depth, split), "gram long, seen long, value double")
 
 
 # ---------------------------------------------------------------- scores
@@ -346,9 +406,9 @@ def lm_scores(docs: DataFrame, learn: Column, depth: int = DEPTH) -> DataFrame:
     small_batches(spark)
     text = text_or_empty().cast("binary")
     rows = docs.select("doc_id", text.alias("text"), F.coalesce(learn, F.lit(False)).alias("learned"))
-    counted = durable(counts_of(rows, depth))
+    counted = _written(counts_of(rows, depth))
     grams, words = counted.where("gram is not null").drop("token"), counted.where("token is not null").drop("gram")
-    values = durable(run_values(grams, trees(grams, depth)))
+    values = durable(run_values(grams, depth))
     learned = rows.agg(F.count_if("learned")).first()[0]
     total, distinct = words.agg(F.sum("trained"), F.count_if(F.col("trained") > 0)).first()
     total, distinct = (total or 0) + learned, distinct + (learned > 0)
