@@ -495,6 +495,18 @@ codes(primary_site, icdo3_code, icdo3_label) AS (
 SELECT icdo3_code, {_GROUP} AS stage_group, count(*) AS notes
 FROM facts LEFT JOIN codes USING (primary_site) GROUP BY ALL""",
     "batch_run": f"WITH {_FCT} SELECT * FROM fct WHERE run_id = {_s(RULE_RUN)}",
+    "batch_resumed": f"""WITH {_FCT},
+runs AS (SELECT unnest([{_s(RULE_RUN)}, {_s(MODEL_RUN)}]) AS run_id),
+own AS (SELECT * FROM landed WHERE run_id = {_s(RULE_RUN)})
+SELECT 'fct_diagnoses' AS mart, runs.run_id, stage_group, icdo3_code, count(*) AS rows
+FROM fct, runs WHERE fct.run_id = {_s(RULE_RUN)} GROUP BY ALL
+UNION ALL SELECT 'dim_biomarkers', NULL, u.k.name, u.k.status, count(*)
+FROM own, unnest(markers) AS u(k), runs GROUP BY ALL""",
+    "batch_statistics": f"""WITH {_DEID}
+SELECT {_s(RULE_RUN)} AS run_id, count(*) AS notes, CAST(sum(redactions) AS BIGINT) AS redactions,
+  round(sum(redactions) / greatest(count(*), 1), 9) AS redactions_per_note FROM deid""",
+    "landing_checked": f"""WITH {_RULES} SELECT {_s(RULE_RUN + '-000000')} AS run_id, note_id, method,
+  primary_site, overall_stage, ecog AS ecog_performance_status FROM facts""",
     "landing_incremental": f"""WITH {_RULES} SELECT {_s(RULE_RUN)} AS run_id, note_id, method,
   primary_site, overall_stage, ecog AS ecog_performance_status FROM facts""",
 }

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,12 +18,12 @@ from notewright.operators import deidentify as deid
 from notewright.operators import landing, marts, quality, responses, scoring
 from notewright.operators.extract import extract, rule_facts
 from notewright.plans import corpus
-from notewright.plans.batch import FCT, run_batch
+from notewright.plans.batch import DIM, FCT, read_mart, redaction_statistics, run_batch
 from notewright.schemas import FACT_COLUMNS, GOLD, MODEL_PREDICTION
 from notewright.session import scratch_path
 from notewright.sources import landing as landing_table
 from notewright.sources import records, site_codes
-from notewright.streaming.incremental import land_new_notes
+from notewright.streaming.incremental import land_checked_notes, land_new_notes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -413,8 +414,46 @@ def batch_run(spark, sf_dir):
         run_batch(notes, folder, MODEL_RUN, _codes(spark), corpus.responses(spark, sf_dir), loaded_at=LOADED_AT)
     except quality.GateFailure:
         pass  # what was landed before it stands
-    fct = spark.read.parquet(f"{folder}/marts/{FCT}")
-    return fct.withColumn("loaded_at", F.col("loaded_at").cast("string"))
+    return read_mart(spark, folder, FCT).withColumn("loaded_at", F.col("loaded_at").cast("string"))
+
+
+def batch_resumed(spark, sf_dir):
+    """Two batches; the second is lost between landing and marts, and called again."""
+    folder, notes, codes = scratch_path(spark, "batch"), corpus.raw_notes(spark, sf_dir), _codes(spark)
+    run_batch(notes, folder, RULE_RUN, codes, loaded_at=LOADED_AT)
+    lost = codes.withColumn("icdo3_code", F.raise_error(F.lit("the codes can't be read")).cast("string"))
+    try:
+        run_batch(notes, folder, MODEL_RUN, lost, loaded_at=LOADED_AT)
+    except PySparkException:
+        run_batch(notes, folder, MODEL_RUN, codes, loaded_at=LOADED_AT)
+    fct = read_mart(spark, folder, FCT).groupBy("run_id", "stage_group", "icdo3_code").agg(F.count("*").alias("rows"))
+    dim = read_mart(spark, folder, DIM).groupBy("biomarker_name", "biomarker_status").agg(F.count("*").alias("rows"))
+    return fct.select(F.lit(FCT).alias("mart"), "run_id", "stage_group", "icdo3_code", "rows").unionAll(
+        dim.select(F.lit(DIM), F.lit(None).cast("string"), "biomarker_name", "biomarker_status", "rows"))
+
+
+def batch_statistics(spark, sf_dir):
+    """Redactions of a batch, observed while its notes were written."""
+    folder = scratch_path(spark, "batch")
+    run_batch(corpus.raw_notes(spark, sf_dir), folder, RULE_RUN, _codes(spark), loaded_at=LOADED_AT)
+    return _rounded(redaction_statistics(spark, folder), "redactions_per_note")
+
+
+def landing_checked(spark, sf_dir):
+    """Notes that arrive as files, landed behind the gate; a second lot fails it and doesn't land."""
+    incoming, folder, progress = (scratch_path(spark, name) for name in ("incoming", "checked", "progress"))
+    notes = corpus.raw_notes(spark, sf_dir)
+    records.write_jsonl(notes, incoming)
+    land_checked_notes(spark, incoming, folder, _codes(spark), progress, RULE_RUN, LOADED_AT)
+    records.write_jsonl(notes.select("note_id", F.lit("Nothing was found.").alias("text")), incoming, mode="append")
+    try:
+        land_checked_notes(spark, incoming, folder, _codes(spark), progress, RULE_RUN, LOADED_AT)
+    except quality.GateFailure:
+        pass  # what was landed before it stands
+    return landing_table.read_landing(spark, f"{folder}/landing").select(
+        "run_id", "note_id", "method", "primary_site",
+        F.try_variant_get("tnm_stage", "$.overall_stage", "string").alias("overall_stage"),
+        "ecog_performance_status")
 
 
 def landing_incremental(spark, sf_dir):
@@ -435,5 +474,5 @@ QUERIES: dict[str, Query] = {q.__name__: q for q in (
     gate_broken, leak_scan, last_record_wins, eval_fields, eval_report, eval_head_to_head,
     eval_labels, eval_from_files, landing_roundtrip, landing_csv, jsonl_roundtrip, stg_extractions,
     fct_diagnoses, dim_biomarkers, cohort_her2_breast, cohort_stage3_her2_trastuzumab,
-    stage_groups, batch_run, landing_incremental,
+    stage_groups, batch_run, batch_resumed, batch_statistics, landing_incremental, landing_checked,
 )}

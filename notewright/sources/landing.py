@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from notewright.schemas import LANDING, LANDING_TEXT
+from notewright.sources.commits import partition_path
 
 
 def append_landing(rows: DataFrame, path: str, rows_per_file: int = 0) -> None:
@@ -26,6 +27,21 @@ def read_landing(spark: SparkSession, *paths: str, run_id: str | None = None) ->
     return landed if run_id is None else landed.where(landed["run_id"] == run_id)
 
 
+def land_run(rows: DataFrame, path: str, run_id: str) -> None:
+    """Land the rows of one run in place of whatever a lost attempt of that run left there.
+
+    A run without rows gets its folder as well.
+    """
+    columns = [c for c in LANDING.fieldNames() if c != "run_id"]
+    rows.select(*columns).write.mode("overwrite").parquet(partition_path(rows.sparkSession, path, run_id))
+
+
+def read_run(spark: SparkSession, path: str, run_id: str) -> DataFrame:
+    """One run's landed rows; folders of other runs are not even listed."""
+    return (spark.read.schema(LANDING).option("basePath", path).parquet(partition_path(spark, path, run_id))
+            .select(*LANDING.fieldNames()))
+
+
 _CSV = {
     "escape": '"', "emptyValue": "", "header": "true",
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
