@@ -13,6 +13,7 @@ from notewright.session import scratch_path
 # Shares of the tokens that reach the mixing stage. More refined text is wanted than there is, so
 # that documents which are only likely to be refined stay as well.
 TARGETS = {"refined": 1.1, "rough": 0.05, "harsh": 0.05}
+STAY = 0.02  # against rates that reach the targets by a few documents, for nothing is repeated here
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -45,7 +46,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are thinned to the target weights."""
     domains = mixing.quality_domains(table(spark, sf_dir, "labels"))
-    return mixing.thin(docs, domains, TARGETS)
+    return mixing.thin(docs, domains, TARGETS, STAY)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
