@@ -7,9 +7,11 @@ the sum of r * tokens * probability. Rates are fitted to target totals by projec
     sum over domains (expected - target)^2 / max(available, target)
         +  STAY * sum over documents tokens * (r - 1)^2
 
-Dividing by the tokens available, or asked for if that is more, and weighing steps by tokens makes
-the step size independent of sizes, and a domain that is hardly there does not pull without bound. A step needs one number for each domain: every iteration is one aggregate over the documents,
-and the rates stay with the documents.
+where STAY only decides between rates that reach the targets equally well. From rates of 1, weighing
+documents by tokens, every step moves a document along its own probabilities and is projected to
+r >= 0, so rates are always max(0, 1 - p . pull) for one pull per domain: that is all an iteration
+carries. Steps are scaled by the Hessian over the documents that are not at 0 (domains x domains), and
+shortened until the dual falls; each is one aggregate over the documents.
 """
 
 from __future__ import annotations
@@ -28,10 +30,9 @@ HASHED = 1 << 16  # word and stem features, half each
 FIT_DOCUMENTS = 1500  # labelled documents of each domain
 FIT_CHARACTERS = 20_000  # of a document to learn from; longer ones are not in the sample
 EPOCHS = 12
-STAY = 0.02
-ROUNDS = 40
-KEEP_EVERY = 8  # iterations between writes of the rates to the shared folder
-TOLERANCE = 1e-5
+STAY = 1e-5
+ROUNDS = 100  # aggregates at most; a fit takes some ten
+TOLERANCE = 1e-7  # of the mixture's size, by which the slope may differ from 0
 
 
 def describe(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -160,31 +161,63 @@ def fit_rates(member: DataFrame, targets: list[float], stay: float = STAY, round
     """member (row, tokens, p) with rate: projected gradient to target shares of all its tokens.
 
     targets are shares of the mixture's size, which is the tokens of member; they need not add up
-    to 1. Nothing is fitted where there are no tokens: rates are then 1.
+    to 1. Targets that no rates reach are met as nearly as the least squares allow. Nothing is fitted
+    where there are no tokens: rates are then 1.
     """
     k = len(targets)
-    expected = [
-        F.sum(F.col("tokens") * F.col("p")[d] * F.col("rate")).alias(f"e{d}") for d in range(k)]
-    state = member.withColumn("rate", F.lit(1.0))
-    available = np.array([v or 0.0 for v in state.agg(*expected).first()])
+    p = [F.col("p")[d] for d in range(k)]
+
+    def rate(pull: np.ndarray) -> Column:
+        return F.greatest(F.lit(0.0), sum((-p[d] * float(pull[d]) for d in range(k)), F.lit(1.0)))
+
+    def at(pull: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Tokens times squared rates, expected totals, and the Hessian."""
+        r = F.col("r")
+        active = F.when(r > 0, F.col("tokens")).otherwise(0)
+        found = member.withColumn("r", rate(pull)).agg(
+            F.sum(F.col("tokens") * r * r), *[F.sum(F.col("tokens") * p[d] * r) for d in range(k)],
+            *[F.sum(active * p[c] * p[d]) for c in range(k) for d in range(k)]).first()
+        numbers = np.array([v or 0.0 for v in found], dtype=float)
+        return numbers[0], numbers[1:k + 1], numbers[k + 1:].reshape(k, k)
+
+    pull = np.zeros(k)
+    squares, available, bend = at(pull)
     whole = available.sum()
     if not whole:
-        return state
+        return member.withColumn("rate", F.lit(1.0))
     wanted = np.array(targets) * whole
-    scale = 1 / np.maximum(np.maximum(available, wanted), 1e-9 * whole)
-    pace = 1 / (1 + stay)  # no direction is steeper than 1 + stay in these units
-    now, before = available, None
-    for step in range(1, rounds + 1):
-        slope = (now - wanted) * scale
-        pull = sum((F.col("p")[d] * F.lit(float(slope[d])) for d in range(k)), F.lit(0.0))
-        state = state.withColumn("rate", F.greatest(F.lit(0.0), (
-            F.col("rate") * F.lit(1 - pace * stay) + F.lit(pace * stay) - F.lit(pace) * pull)))
-        if step % KEEP_EVERY == 0:
-            state = durable(state)
-        before, now = now, np.array(state.agg(*expected).first())
-        if np.abs(now - before).max() < TOLERANCE * whole:
+    softness = stay * np.maximum(np.maximum(available, wanted), 1e-9 * whole)
+
+    def dual(squares: float, pull: np.ndarray) -> float:
+        return squares / 2 + wanted @ pull + softness @ pull**2 / 2
+
+    now, value = available, dual(squares, pull)
+    left = rounds - 1
+    while left > 0:
+        slope = wanted - now + softness * pull
+        if np.abs(slope).max() <= TOLERANCE * whole:
             break
-    return state
+        step = -np.linalg.solve(bend + np.diag(softness), slope)
+        length = 1.0
+        while left > 0:
+            left -= 1
+            squares, expected, hessian = at(pull + length * step)
+            there = dual(squares, pull + length * step)
+            if there <= value + 1e-4 * length * (slope @ step) + 1e-12 * abs(value):
+                pull, now, bend, value = pull + length * step, expected, hessian, there
+                break
+            length /= 2
+    return member.withColumn("rate", rate(pull))
+
+
+def mixture(fitted: DataFrame, targets: dict[str, float]) -> DataFrame:
+    """One row per domain of fitted rates: target, expected and drawn shares of the tokens there are."""
+    whole = F.sum("tokens")
+    share = lambda times, d: F.try_divide(F.sum(F.col("tokens") * F.col("p")[d] * F.col(times)), whole)
+    return fitted.agg(F.array(*[
+        F.struct(F.lit(name).alias("domain"), F.lit(float(targets[name])).alias("target"),
+                 share("rate", d).alias("expected"), share("copies", d).alias("drawn"))
+        for d, name in enumerate(sorted(targets))]).alias("rows")).select(F.inline("rows"))
 
 
 def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], stay: float = STAY) -> DataFrame:
