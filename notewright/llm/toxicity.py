@@ -31,9 +31,9 @@ from notewright.llm.common import labelled_sample, small_batches, text_or_empty
 DECAY = 0.6
 SPAN = 6  # characters a subsequence may reach over
 SYMBOLS = 64
-FIT_DOCUMENTS = 1200  # labelled documents of each class
+FIT_DOCUMENTS = 1500  # labelled documents of each class
 FIT_CHARACTERS = 20_000  # of a document to learn from; longer ones are not in the sample
-LANDMARKS = 160
+LANDMARKS = 192
 ALIKE = 0.7  # landmarks of more kernel than this with one another add nothing
 SUSPECT = 3.5  # log odds from which a first guess is taken at its word
 LIFT = 5.0  # how much oftener than in clean documents a word to blame must stand in toxic ones
@@ -199,11 +199,13 @@ def _logistic(x: np.ndarray) -> np.ndarray:
 def train(sentences: list[tuple[int, int, list[str]]], landmarks: int = LANDMARKS) -> Model:
     """A model from labelled sentences: (document number, label, words), one or more for a document.
 
-    With no toxic or no clean sentences every document scores as not toxic.
+    With no toxic or no clean sentences, or no word in the toxic ones, every document scores as not
+    toxic.
     """
     sentences = _without_copies(sentences)
     owner_label = {doc: label for doc, label, _ in sentences}
-    if set(owner_label.values()) != {0, 1}:
+    blamed = any(words for _, label, words in sentences if label == 1)
+    if set(owner_label.values()) != {0, 1} or not blamed:
         never = np.zeros(len(document_features(np.zeros(0))))
         never[-1] = -3.0
         return Model(np.zeros(SYMBOLS**3, dtype=np.float32), -1.0, never)

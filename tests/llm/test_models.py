@@ -148,6 +148,46 @@ def test_rates_reach_targets_and_are_least_squares(spark):
         assert loss(other) > best - 1e-3 * abs(best)
 
 
+@pytest.mark.parametrize("scarce", [0.05, 0.01])
+def test_scarce_domains_reach_their_targets(spark, scarce):
+    """At production defaults, with posteriors that are sure and with soft ones."""
+    draw = np.random.default_rng(3)
+    targets = {"a": 0.95, "b": 0.03, "c": 0.02}
+    for sure in (1.0, 0.9):
+        kind = draw.choice(3, 4000, p=[scarce, 0.6, 0.4 - scarce])
+        p = np.full((4000, 3), (1 - sure) / 2)
+        p[np.arange(4000), kind] = sure
+        tokens = draw.integers(1, 400, 4000)
+        member = spark.createDataFrame(
+            [(i, i, int(n), q.tolist()) for i, (n, q) in enumerate(zip(tokens, p, strict=True))],
+            "doc_id long, text_key long, tokens long, p array<double>")
+        rate = np.array([r.rate for r in mixing.fit_rates(member, list(targets.values())).orderBy("doc_id").collect()])
+        reached = (rate * tokens) @ p / tokens.sum()
+        # three kinds of documents, so the reachable optimum is a least-squares problem in three rates
+        mass = np.array([[(tokens * p[:, d])[kind == c].sum() for c in range(3)] for d in range(3)]) / tokens.sum()
+        wanted = np.array(list(targets.values()))
+        weight = 1 / np.maximum(mass.sum(axis=1), wanted)
+        best = np.ones(3)
+        for _ in range(200_000):
+            best = np.maximum(0, best - 0.4 / sure * (mass.T @ (weight * (mass @ best - wanted))) / mass.sum(axis=0))
+        assert rate.min() >= 0 and np.abs(reached - mass @ best).max() < 0.01
+        if sure == 1.0:
+            assert np.abs(reached - wanted).max() < 0.001
+
+
+def test_mixture_reports_what_was_reached(documents, labels, spark):
+    targets = {"harsh": 0.02, "refined": 0.7, "rough": 0.1}
+    fitted = mixing.rates(documents(labelled()[0]), mixing.quality_domains(labels), targets)
+    rows = fitted.collect()
+    tokens = sum(r.tokens for r in rows)
+    found = mixing.mixture(fitted, targets).collect()
+    assert [(r.domain, r.target) for r in found] == sorted(targets.items())
+    for d, r in enumerate(found):
+        assert r.expected == pytest.approx(sum(x.tokens * x.p[d] * x.rate for x in rows) / tokens)
+        assert r.drawn == pytest.approx(sum(x.tokens * x.p[d] * x.copies for x in rows) / tokens)
+        assert abs(r.expected - r.target) < 0.01 and abs(r.drawn - r.target) < 0.1
+
+
 def test_mixing_learns_domains_and_thins(documents, labels, spark):
     docs = documents(labelled()[0]).withColumn("KEY", F.lit(1)).withColumn("text_key", F.lit(2))
     domains = mixing.quality_domains(labels)
@@ -175,3 +215,18 @@ def test_odd_rows_and_no_rows(documents, odd_rows, labels, some):
     rows = mixing.rates(docs, domains, {"x": 1.0, "y": 0.5}).collect()
     assert sorted(str(r.doc_id) for r in rows) == wanted
     assert all(r.rate >= 0 and r.copies >= 0 for r in rows)
+
+
+@pytest.mark.parametrize("sentences", [
+    [(1, 1, []), (2, 0, ["hello", "world"])], [(1, 1, []), (2, 0, [])], [(1, 1, ["grumbold"]), (2, 0, [])],
+])
+def test_documents_without_words_teach_nothing(sentences):
+    model = toxicity.train(sentences)
+    assert np.isfinite(toxicity.decisions(model, ["hello", "grumbold"])).all()
+
+
+def test_toxic_documents_of_marks_only(documents, spark):
+    rows = [(i, " !? \n") for i in range(20)] + [(100 + i, passage(i)) for i in range(20)]
+    labels = spark.createDataFrame([(i, 1, int(i < 100)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    found = toxicity.toxicity(documents(rows), labels, F.lit(True)).collect()
+    assert len(found) == 40 and all(r.predicted == 0 for r in found)
