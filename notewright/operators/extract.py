@@ -2,24 +2,27 @@
 
 An extractor is any function from notes (``note_id, text``) to ``note_id`` and the facts
 columns. :func:`rule_facts` is the one built here; its keyword groups, word lists and patterns
-are parameters.
+are parameters. :func:`arrow_extractor` makes one from a function over Arrow batches.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from notewright import fixed_values as fv
 from notewright.functions.once import settled
 from notewright.functions.text import (
     folded, may_match, null_if_empty, spark_regex, without_nulls,
 )
-from notewright.schemas import BIOMARKER, FACT_COLUMNS
+from notewright.schemas import BIOMARKER, FACT_COLUMNS, GOLD
 
 Extractor = Callable[[DataFrame], DataFrame]
 
@@ -145,6 +148,53 @@ def extract(notes: DataFrame, extractor: Extractor = rule_facts,
                         *[c for c in FACT_COLUMNS if c in facts.columns])
 
 
+def arrow_extractor(
+    work: Callable[[pa.RecordBatch], pa.RecordBatch], fields: Sequence[str] = FACT_COLUMNS, rows: int = 512,
+    characters: int = 4 << 20,
+) -> Extractor:
+    """An extractor from a function over Arrow batches, for a model or a table that runs in tasks.
+
+    work gets batches of ``note_id, text`` of at most ``rows`` notes and, unless a single note is
+    longer, ``characters`` bytes of text. It returns note_id and all of ``fields``, in any order,
+    one row for each note it got. Columns are cast to the type of the facts. A batch with other
+    columns, a column that can't be cast, or notes that are missing, doubled or made up fails the
+    job: a plug-in can't lose notes or invent them. No shuffle; the function is sent to the tasks.
+    """
+    unknown = sorted(set(fields) - set(FACT_COLUMNS))
+    if unknown:
+        raise ValueError(f"no facts: {', '.join(unknown)}")
+    schema = T.StructType([GOLD["note_id"], *[GOLD[name] for name in FACT_COLUMNS if name in fields]])
+    wanted = to_arrow_schema(schema)
+
+    def checked(given: pa.RecordBatch) -> pa.RecordBatch:
+        found = work(given)
+        if sorted(found.schema.names) != sorted(wanted.names):
+            raise ValueError(f"an extractor returned {found.schema.names} instead of {wanted.names}")
+        if sorted(found.column("note_id").to_pylist(), key=str) != sorted(given.column("note_id").to_pylist(), key=str):
+            raise ValueError("an extractor did not return one row for each note")
+        columns = []
+        for field in wanted:
+            try:
+                columns.append(found.column(field.name).cast(field.type))
+            except (pa.ArrowInvalid, pa.ArrowNotImplementedError) as wrong:
+                raise ValueError(f"an extractor returned {field.name} as {found.column(field.name).type}: {wrong}") from None
+        return pa.RecordBatch.from_arrays(columns, schema=wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            start, held = 0, 0
+            for at, text in enumerate(batch.column("text")):
+                size = len(text.as_py() or "")
+                if at > start and (at - start >= rows or held + size > characters):
+                    yield checked(batch.slice(start, at - start))
+                    start, held = at, 0
+                held += size
+            if batch.num_rows > start:
+                yield checked(batch.slice(start))
+
+    return lambda notes: notes.select("note_id", "text").mapInArrow(run, schema)
+
+
 def _any(conditions) -> Column:
     result = None
     for condition in conditions:

@@ -9,14 +9,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from notewright import fixed_values as fv
 from notewright.functions.text import strip
 from notewright.operators import deidentify as deid
 from notewright.operators import landing, marts, quality, responses, scoring
-from notewright.operators.extract import extract, rule_facts
+from notewright.operators.extract import arrow_extractor, extract, rule_facts
 from notewright.plans import corpus
 from notewright.plans.batch import DIM, FCT, read_mart, redaction_statistics, run_batch
 from notewright.schemas import FACT_COLUMNS, GOLD, MODEL_PREDICTION
@@ -139,6 +141,20 @@ def facts_meds(spark, sf_dir):
     return facts.select("note_id", F.explode("medications").alias("medication"))
 
 
+def facts_plugged(spark, sf_dir):
+    """Medications looked up by a plugged-in function over Arrow batches."""
+    terms = sorted(set(fv.MEDICATIONS))
+
+    def work(notes: pa.RecordBatch) -> pa.RecordBatch:
+        lowered = [text.lower() for text in notes.column("text").to_pylist()]
+        found = [[term for term in terms if term.lower() in text] for text in lowered]
+        return pa.RecordBatch.from_arrays([notes.column("note_id"), pa.array(found, pa.list_(pa.string()))],
+                                          ["note_id", "medications"])
+
+    predictions = extract(corpus.deidentified(spark, sf_dir), arrow_extractor(work, ("medications",)))
+    return predictions.select("note_id", F.explode("medications").alias("medication"))
+
+
 def _assembled(predictions):
     return predictions.select(
         "note_id", "method", "primary_site", F.col("tnm_stage.overall_stage"),
@@ -469,7 +485,7 @@ def landing_incremental(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     notes_rendered, gold_long, deid_text, deid_counts, deid_stats, deid_custom_rule, deid_given, facts_given, gate_given,
-    facts_scalar, facts_biomarkers, biomarker_false_hits, facts_meds, facts_assembled,
+    facts_scalar, facts_biomarkers, biomarker_false_hits, facts_meds, facts_plugged, facts_assembled,
     model_offline, prompts, responses_joined, responses_parsed, responses_repeated, usage_cost, gate_clean,
     gate_broken, leak_scan, last_record_wins, eval_fields, eval_report, eval_head_to_head,
     eval_labels, eval_from_files, landing_roundtrip, landing_csv, jsonl_roundtrip, stg_extractions,

@@ -48,15 +48,21 @@ _CSV = {
 }
 
 
-def write_landing_csv(rows: DataFrame, path: str) -> None:
+CSV_ROWS = 100_000  # of a file
+
+
+def write_landing_csv(rows: DataFrame, path: str, rows_per_file: int = CSV_ROWS) -> None:
     """The landing columns as CSV with a header, nested values as JSON text.
 
+    A file that holds line ends inside values can't be split when it is read, so files are kept to
+    rows_per_file rows each: reading back has a task for every one of them, however large the table.
     Quotes are doubled inside quoted values; outer blanks and line ends inside a value stay. An
     empty batch gives no data rows. An empty text is written like null, and comes back as null.
     """
-    rows.select(*LANDING_TEXT.fieldNames()).write.options(**_CSV).csv(path)
+    (rows.select(*LANDING_TEXT.fieldNames()).write.options(**_CSV)
+     .option("maxRecordsPerFile", rows_per_file).csv(path))
 
 
 def read_landing_csv(spark: SparkSession, path: str) -> DataFrame:
-    """What write_landing_csv wrote. A value may span lines, so a file is read as a whole."""
+    """What write_landing_csv wrote. A value may span lines, so a file is read by one task."""
     return spark.read.schema(LANDING_TEXT).options(**_CSV, multiLine="true").csv(path)

@@ -1,7 +1,15 @@
 import re
+import sys
+
+import pyarrow as pa
+import pytest
+from pyspark import cloudpickle
+from pyspark.errors import PySparkException
 
 from notewright import fixed_values as fv
-from notewright.operators.extract import ExtractionRules, Pattern, extract, rule_facts
+from notewright.operators.extract import ExtractionRules, Pattern, arrow_extractor, extract, rule_facts
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks can't import tests
 
 
 def facts(notes, *texts):
@@ -113,3 +121,59 @@ def test_only_wanted_fields_are_computed(notes):
     df = rule_facts(notes("melanoma, ER positive"), fields=("primary_site",))
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert df.columns == ["note_id", "primary_site"] and "HER2" not in plan and "ECOG" not in plan
+
+
+def _noted(notes, **columns):
+    n = notes.num_rows
+    arrays = {"note_id": notes.column("note_id"), **{k: pa.array([v] * n) for k, v in columns.items()}}
+    return pa.RecordBatch.from_pydict(arrays)
+
+
+def test_a_plugged_in_extractor_equals_the_rules(spark, notes):
+    """A table-driven extractor over Arrow batches, in batches of few notes."""
+    sizes = spark.sparkContext.accumulator(0)
+    table = {k: (d, s, h) for ks, d, s, h in reversed(fv.KEYWORD_GROUPS) for k in reversed(ks)}
+
+    def work(batch):
+        sizes.add(1)
+        assert batch.num_rows <= 2
+        found = [next((table[k] for ks, *_ in fv.KEYWORD_GROUPS for k in ks if k in text.lower()), (None,) * 3)
+                 for text in batch.column("text").to_pylist()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([f[i] for f in found], pa.large_string()) for i in (1, 0, 2)] + [batch.column("note_id")],
+            ["primary_site", "primary_diagnosis", "histology", "note_id"])
+
+    fields = ("primary_diagnosis", "primary_site", "histology")
+    texts = notes("Melanoma of the arm", "nothing", "PROSTATE cancer", "lung adenocarcinoma", "").coalesce(1)
+    found = extract(texts, arrow_extractor(work, fields, rows=2), method="plugged")
+    assert found.columns == ["note_id", "method", *fields]
+    assert sorted(found.drop("method").collect(), key=str) == sorted(rule_facts(texts, fields=fields).collect(), key=str)
+    assert sizes.value >= 3
+
+
+def test_long_notes_come_in_batches_of_their_own(notes):
+    def work(batch):
+        assert batch.num_rows == 1 or sum(map(len, batch.column("text").to_pylist())) <= 100
+        return _noted(batch, primary_site="x")
+
+    found = arrow_extractor(work, ("primary_site",), characters=100)(notes("a" * 500, "b" * 60, "c" * 60, "d", "e").coalesce(1))
+    assert found.count() == 5 and found.where("primary_site = 'x'").count() == 5
+
+
+@pytest.mark.parametrize(("work", "why"), [
+    (lambda b: _noted(b), "instead of"),
+    (lambda b: _noted(b, primary_site="x", extra=1), "instead of"),
+    (lambda b: _noted(b, primary_site="x").slice(1), "one row for each note"),
+    (lambda b: _noted(b.slice(0, 1), primary_site="x"), "one row for each note"),
+    (lambda b: pa.RecordBatch.from_pydict({"note_id": ["made up"] * b.num_rows, "primary_site": ["x"] * b.num_rows}),
+     "one row for each note"),
+    (lambda b: _noted(b, primary_site=[1, 2]), "returned primary_site as"),
+])
+def test_a_bad_plug_in_is_refused(notes, work, why):
+    with pytest.raises(PySparkException, match=why):
+        arrow_extractor(work, ("primary_site",))(notes("a", "b").coalesce(1)).collect()
+
+
+def test_a_plug_in_of_unknown_facts_is_refused():
+    with pytest.raises(ValueError, match="no facts: grade"):
+        arrow_extractor(lambda b: b, ("grade",))

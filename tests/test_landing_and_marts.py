@@ -224,3 +224,18 @@ def test_a_failed_gate_leaves_landing_and_marts(spark, notes, tmp_path):
     assert state() == before
     run_batch(notes("melanoma, BRAF mutated"), folder, "r3", codes, loaded_at=AT)
     assert [len(t) for t in state()] == [3, 3, 1]
+
+
+def test_csv_files_are_bounded_and_read_by_many_tasks(spark, notes, tmp_path):
+    text = landing_text(extract(notes(*["two\nlines, lung"] * 10)).coalesce(1), "r")
+    table.write_landing_csv(text, str(tmp_path / "csv"), rows_per_file=3)
+    assert len(list((tmp_path / "csv").glob("*.csv"))) == 4
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1k")
+    try:
+        back = table.read_landing_csv(spark, str(tmp_path / "csv"))
+        assert back.rdd.getNumPartitions() == 4
+        assert sorted(back.collect()) == sorted(text.collect())
+    finally:
+        spark.conf.set(name, before)
