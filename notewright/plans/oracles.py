@@ -425,6 +425,8 @@ SELECT count(*) AS notes, CAST(sum(redactions) AS BIGINT) AS redactions,
                   "FROM facts, unnest(meds) AS u(d)",
     "facts_plugged": f"WITH {_RULES} SELECT note_id, u.d AS medication "
                      "FROM facts, unnest(meds) AS u(d)",
+    "facts_indexed": f"WITH {_RULES} SELECT note_id, primary_diagnosis, primary_site, histology, "
+                     f"{_MEDS} AS medications FROM facts",
     "facts_assembled": f"WITH {_RULES} SELECT {_ASSEMBLED.format('method')} FROM facts",
     "model_offline": f"WITH {_RULES} SELECT {_ASSEMBLED.format(_s(fv.METHOD_OFFLINE))} FROM facts",
     "prompts": f"""WITH {_DEID} SELECT note_id, md5({_s(DEFAULT_INSTRUCTIONS)}) AS system_md5,

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from notewright import fixed_values as fv
 from notewright.functions.text import strip
 from notewright.operators import deidentify as deid
-from notewright.operators import landing, marts, quality, responses, scoring
+from notewright.operators import landing, marts, quality, responses, scoring, term_index
 from notewright.operators.extract import arrow_extractor, extract, rule_facts
 from notewright.plans import corpus
 from notewright.plans.batch import DIM, FCT, read_mart, redaction_statistics, run_batch
@@ -155,6 +155,17 @@ def facts_plugged(spark, sf_dir):
     return predictions.select("note_id", F.explode("medications").alias("medication"))
 
 
+def facts_indexed(spark, sf_dir):
+    """Classification and medications of notes by an index of terms."""
+    notes = _table(spark, corpus.deidentified(spark, sf_dir), "indexed-notes")
+    drugs = spark.createDataFrame([(m,) for m in fv.MEDICATIONS], "term string")
+    groups = spark.createDataFrame(
+        [(k, place, *facts) for place, (keys, *facts) in enumerate(fv.KEYWORD_GROUPS) for k in keys],
+        "term string, place int, primary_diagnosis string, primary_site string, histology string")
+    listed = term_index.terms_of_notes(notes, drugs).select("note_id", F.array_join("terms", ",").alias("medications"))
+    return term_index.classes_of_notes(notes, groups).join(listed, "note_id")
+
+
 def _assembled(predictions):
     return predictions.select(
         "note_id", "method", "primary_site", F.col("tnm_stage.overall_stage"),
@@ -485,7 +496,7 @@ def landing_incremental(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     notes_rendered, gold_long, deid_text, deid_counts, deid_stats, deid_custom_rule, deid_given, facts_given, gate_given,
-    facts_scalar, facts_biomarkers, biomarker_false_hits, facts_meds, facts_plugged, facts_assembled,
+    facts_scalar, facts_biomarkers, biomarker_false_hits, facts_meds, facts_plugged, facts_indexed, facts_assembled,
     model_offline, prompts, responses_joined, responses_parsed, responses_repeated, usage_cost, gate_clean,
     gate_broken, leak_scan, last_record_wins, eval_fields, eval_report, eval_head_to_head,
     eval_labels, eval_from_files, landing_roundtrip, landing_csv, jsonl_roundtrip, stg_extractions,
