@@ -157,7 +157,7 @@ def facts_plugged(spark, sf_dir):
 
 def facts_indexed(spark, sf_dir):
     """Classification and medications of notes by an index of terms."""
-    notes = _table(spark, corpus.deidentified(spark, sf_dir), "indexed-notes")
+    notes = corpus.deidentified(spark, sf_dir)
     drugs = spark.createDataFrame([(m,) for m in fv.MEDICATIONS], "term string")
     groups = spark.createDataFrame(
         [(k, place, *facts) for place, (keys, *facts) in enumerate(fv.KEYWORD_GROUPS) for k in keys],
