@@ -1,14 +1,17 @@
 """Exact duplicates of whole texts, by a tree of merged digest runs.
 
-Rows are dealt to runs by a hash of their id, and every run is sorted by digest and reduced to the
-smallest id and the number of rows of each digest. Runs then meet in rounds: in each, FAN_IN
-neighbouring runs are exchanged and merged, once for every range of the digest space, until one
-run is left in each range. No task ever holds more than one range of one run.
+Rows are dealt to runs by a hash of their id, and every run holds each digest once, with its smallest
+id and its number of rows. Runs then meet in rounds: in each, FAN_IN neighbouring runs are exchanged,
+once for every range of the digest space, put into the order of digests and ids, and merged in one
+pass along that order: of neighbours that are verified to be equal the first stays and takes over the
+rows of the others. The last round leaves one run in each range. Spark's exchange keeps no order, so
+the sort of a round is what merges the runs that arrive. At most FAN_IN neighbours are equal in a
+round, however many copies a text has, and no task holds more than ranges of one run.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from notewright.llm.common import durable, text_or_empty
@@ -31,10 +34,28 @@ def digests(docs: DataFrame) -> DataFrame:
     )
 
 
+def merged(level: DataFrame) -> DataFrame:
+    """One round: runs of the same range and number, exchanged, sorted and merged.
+
+    The pass along the order compares digest, second hash and length of neighbours. A digest whose
+    rows all lack an id keeps a null id.
+    """
+    equal = Window.partitionBy("range", "run", *DIGEST)
+    ordered = equal.orderBy(F.col("keep_id").asc_nulls_last())
+    return (
+        level.repartition("range", "run")
+        .select("range", "run", *DIGEST, "keep_id", F.row_number().over(ordered).alias("place"),
+                F.sum("rows").over(ordered.rowsBetween(
+                    Window.unboundedPreceding, Window.unboundedFollowing)).alias("rows"))
+        .where("place = 1").drop("place")
+    )
+
+
 def merge_runs(digested: DataFrame, runs: int = RUNS, fan_in: int = FAN_IN) -> DataFrame:
     """The smallest doc_id and the row count of every digest, merged in log(runs) rounds.
 
-    Two rows count as equal only if digest, second hash and length all agree, at every level.
+    Two rows count as equal only if digest, second hash and length all agree, at every level. Copies
+    within a run are counted before anything is exchanged, so a text of very many copies sends few rows.
     """
     level = (
         digested.withColumn("run", F.pmod(F.xxhash64("doc_id"), F.lit(runs)))
@@ -43,12 +64,7 @@ def merge_runs(digested: DataFrame, runs: int = RUNS, fan_in: int = FAN_IN) -> D
     )
     while runs > 1:
         runs = -(-runs // fan_in)
-        level = (
-            level.withColumn("run", F.floor(F.col("run") / fan_in))
-            .repartition("range", "run").sortWithinPartitions("range", "run", *DIGEST)
-            .groupBy("range", "run", *DIGEST)
-            .agg(F.min("keep_id").alias("keep_id"), F.sum("rows").alias("rows"))
-        )
+        level = merged(level.withColumn("run", F.floor(F.col("run") / fan_in)))
     return level.select(*DIGEST, "keep_id", F.col("rows").alias("group_size"))
 
 

@@ -70,6 +70,15 @@ def test_exact_duplicates_of_odd_rows(documents, odd_rows):
     assert exact_dedup.exact_duplicates(documents([])).count() == 0
 
 
+def test_every_round_sorts_and_merges(documents):
+    rounds = exact_dedup.merge_runs(exact_dedup.digests(documents([(i, f"t {i % 5}") for i in range(50)])), 64, 8)
+    assert rounds.count() == 5
+    final = rounds._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # the order is not optimised away, and the pass along it numbers the equal neighbours
+    assert len(re.findall(r"Sort \[range#\d+ ASC NULLS FIRST, run#\d+L? ASC NULLS FIRST, text_sha256", final)) == 2
+    assert len(re.findall(r"row_number\(\) windowspec", final)) >= 2
+
+
 def test_every_fan_in_merges_to_the_same(documents):
     rows = [(i, f"text {i % 37}") for i in range(400)]
     digested = exact_dedup.digests(documents(rows))
