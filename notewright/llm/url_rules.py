@@ -5,6 +5,11 @@ learns from: it mines token combinations of labelled addresses that go with a ve
 too little confidence or support are pruned, and so is a rule that a shorter one of at least its
 confidence covers. Each mined rule is posted under its rarest token; an address is matched through
 the postings of its tokens, and the most confident rule that it holds decides.
+
+Addresses give all their tokens, however deep their paths. Before mining, tokens below the support
+are dropped, which loses no rule, and tokens that stand in the very same labelled rows become one
+class: an address holds a class if it holds any of its tokens. Else a path shared by many addresses
+would be mined in all combinations of its segments, every one with the same support and confidence.
 """
 
 from __future__ import annotations
@@ -26,6 +31,7 @@ RULES = [
 MIN_SUPPORT = 0.005
 MIN_CONFIDENCE = 0.9
 DEFAULT = "allow"  # where no given and no mined rule speaks
+MOST_SENT = 50_000  # token classes, of about a hundred bytes
 MOST_RULES = 1000  # given rules are tried in one expression; more than this is refused
 
 
@@ -60,36 +66,64 @@ def judged(pages: DataFrame, rules=RULES) -> DataFrame:
 
 
 def url_tokens() -> Column:
-    """The distinct tokens of an address, at most 13 and so at most 2^13 combinations each.
+    """The distinct tokens of an address.
 
-    Top level, domain and whole host, the first two path segments (digits as 0), the file
-    extension, depth, the scheme, whether there is a fragment, and up to four query keys.
+    Top level, domain and whole host, every path segment with its place (digits as 0), the file
+    extension, depth, the scheme, whether there is a fragment, and every query key.
     """
     labels = F.split("host", r"\.")
     domain = F.array_join(F.slice(labels, -F.least(F.size(labels), F.lit(2)), F.lit(2)), ".")
     parts = F.filter(F.split("path", "/"), lambda p: p != "")
     shape = lambda p: F.regexp_replace(p, r"\d+", "0")
     query = F.regexp_extract("url", r"(?s)^[^?#]*\?([^#]*)", 1)
-    keys = F.slice(F.array_sort(F.array_distinct(F.filter(
+    keys = F.filter(
         F.transform(F.split(query, "&"), lambda k: F.regexp_extract(k, r"(?s)^([^=]*)", 1)),
-        lambda k: k != ""))), 1, 4)
+        lambda k: k != "")
     tokens = F.concat(
         F.array(
             F.concat(F.lit("top:"), F.element_at(labels, -1)),
             F.concat(F.lit("domain:"), domain),
             F.concat(F.lit("host:"), F.col("host")),
-            F.concat(F.lit("first:"), shape(F.get(parts, F.lit(0)))),
-            F.concat(F.lit("second:"), shape(F.get(parts, F.lit(1)))),
             F.concat(F.lit("type:"), F.regexp_extract("path", r"\.([A-Za-z0-9]{1,8})$", 1)),
-            F.concat(F.lit("depth:"), F.least(F.size(parts), F.lit(6)).cast("string")),
+            F.concat(F.lit("depth:"), F.size(parts).cast("string")),
             F.concat(F.lit("scheme:"), F.regexp_extract("url", r"^([A-Za-z]+)://", 1)),
             F.when(F.contains("url", F.lit("#")), F.lit("fragment")),
         ),
+        F.transform(parts, lambda p, i: F.concat(F.lit("at"), (i + 1).cast("string"), F.lit(":"), shape(p))),
         F.transform(keys, lambda k: F.concat(F.lit("key:"), k)),
     )
     return F.array_distinct(F.filter(tokens, lambda t: t.isNotNull()))
 
 
+def token_classes(labelled: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
+    """(token, class) of the tokens that at least min_support of the labelled rows hold.
+
+    labelled: rows of (row, tokens), row a number of its own for each. Tokens of the same rows are
+    told by their count and two independent sums over hashes of these rows; the class is the first
+    of them in text order. There are at most (tokens of a row, on average) / min_support classes.
+    """
+    least = min_support * labelled.count()
+    held = labelled.select(F.explode("tokens").alias("token"), "row").groupBy("token").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("row")).alias("one"),
+        F.bit_xor(F.xxhash64("row", F.lit(1))).alias("two"))
+    first = held.where(F.col("n") >= least).groupBy("n", "one", "two").agg(F.collect_list("token").alias("same"))
+    return first.select(F.explode("same").alias("token"), F.array_min("same").alias("class"))
+
+
+def in_classes(rows: DataFrame, classes: DataFrame, key: str) -> DataFrame:
+    """rows of (key, tokens), key unique, with the classes of their tokens as tokens, sorted.
+
+    Rows without a token of any class are left out. Up to MOST_SENT classes are sent to all tasks, so
+    that a token of every address makes no large group; more are joined.
+    """
+    if classes.count() <= MOST_SENT:
+        classes = F.broadcast(classes)
+    return (
+        rows.select(key, F.explode("tokens").alias("token")).join(classes, "token")
+        .groupBy(key).agg(F.array_sort(F.collect_set("class")).alias("tokens"))
+    )
+
+
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT,
          min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """Rules from rows of (tokens, verdict): posting, tokens, verdict, confidence, support.
@@ -97,7 +131,8 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT,
     Support and confidence are over all labelled rows; the verdict takes part in mining as one
     more token. A rule is pruned if dropping one of its tokens leaves a rule with the same verdict
     and no less confidence. posting is the rule's rarest token. No labelled rows give no rules.
-    A row has at most 2^13 combinations, so at most 2^13 / min_support of them can be frequent.
+    A row with k frequent tokens has 2^k combinations: give classes of tokens (token_classes), which
+    leaves as many as say different things of the labelled rows.
     """
     mark = "verdict:"
     baskets = labelled.select(
@@ -151,15 +186,21 @@ def filter_urls(pages: DataFrame, rules=RULES, min_support: float = MIN_SUPPORT,
     """One row per row of pages: page_id, host, path, rule, verdict, mined_rule, confidence.
 
     A null address, or one without ://, has an empty host and path and fits no given rule. Where
-    neither a given nor a mined rule speaks, the verdict is DEFAULT and mined_rule is null. Rows
-    may repeat and ids may be null: a verdict depends on the address alone. Other columns of pages
+    neither a given nor a mined rule speaks, the verdict is DEFAULT and mined_rule is null. A mined
+    rule is written with the first token of each of its classes. Rows may repeat and ids may be null: a verdict depends on the address alone. Other columns of pages
     are not read. An empty table gives an empty result.
     """
     known = durable(judged(pages, rules).withColumn("url", F.coalesce("url", F.lit("")))
-                    .withColumn("tokens", url_tokens()))
-    mined = mine(known.where("rule is not null").select("tokens", F.col("rule_verdict").alias("verdict")),
-                 min_support, min_confidence)
-    matched = match(known.where("rule is null").select("url", "tokens").distinct(), mined)
+                    .withColumn("tokens", url_tokens()).withColumn("row", F.monotonically_increasing_id()))
+    labelled = known.where("rule is not null")
+    classes = durable(token_classes(labelled.select("row", "tokens"), min_support))
+    # a row without a frequent token counts in the support of the others
+    baskets = labelled.select("row", F.col("rule_verdict").alias("verdict")).join(
+        in_classes(labelled.select("row", "tokens"), classes, "row"), "row", "left").select(
+        F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens"), "verdict")
+    mined = mine(durable(baskets), min_support, min_confidence)
+    urls = known.where("rule is null").select("url", "tokens").distinct()
+    matched = match(in_classes(urls, classes, "url"), mined)
     return known.join(matched, "url", "left").select(
         "page_id", "host", "path", "rule",
         F.coalesce("rule_verdict", "mined_verdict", F.lit(DEFAULT)).alias("verdict"),

@@ -84,6 +84,37 @@ def test_mined_rules_against_all_combinations(spark):
             assert len(got[url].mined_rule.split()) == max(f for f in fits if abs(f[0] - max(fits)[0]) < 1e-9)[1]
 
 
+def test_deep_segments_and_many_keys_count(spark):
+    deep = "/".join(f"s{i}" for i in range(60))
+    many = "&".join(f"a{i}=1" for i in range(40))
+    rows = [f"http://a.org/x/y/bad/{i}" for i in range(200)] + [f"http://a.org/x/y/fine/{i}" for i in range(200)]
+    rows += [f"http://a.org/x/y/fine/{deep}/{i}?{many}&zz=1" for i in range(100)]
+    rows += ["http://b.net/x/y/bad/7", "http://b.net/x/y/fine/7", f"http://b.net/q?{many}&zz=2", "http://b.net/other"]
+    pages = spark.createDataFrame(list(enumerate(rows)), PAGE)
+    rules = [("a.org", "/x/y/bad/", "block"), ("a.org", "/", "allow")]
+    found = {r.page_id: r for r in url_rules.filter_urls(pages, rules).where("page_id >= 500").collect()}
+    assert [found[i].verdict for i in range(500, 504)] == ["block", "allow", "allow", "allow"]
+    assert [found[i].mined_rule is None for i in range(500, 504)] == [False, False, False, True]
+    # a class is named by its first token: the keys stand in the same labelled rows as the deep segments
+    assert [found[i].mined_rule for i in range(500, 503)] == ["at3:bad", "at3:fine", "at10:s0"]
+
+
+def test_classes_mine_what_all_combinations_mine(spark):
+    """Rules of classes, written out over the tokens of each class, are the rules of the tokens."""
+    labelled = [
+        (i, [f"a{i % 3}", f"b{i % 4}", f"c{i % 4}", "d", f"once{i}"], "block" if i % 3 == 0 and i % 4 else "allow")
+        for i in range(120)]
+    table = spark.createDataFrame(labelled, "row long, tokens array<string>, verdict string")
+    classes = dict(url_rules.token_classes(table, 0.02).collect())
+    assert classes == {t: t.replace("c", "b") for _, tokens, _ in labelled for t in tokens if not t.startswith("once")}
+    baskets = url_rules.in_classes(
+        table, spark.createDataFrame(list(classes.items()), "token string, class string"), "row")
+    rules = url_rules.mine(baskets.join(table.select("row", "verdict"), "row").select("tokens", "verdict"), 0.02, 0.8)
+    every = mined_by_hand([(tokens[:4], verdict) for _, tokens, verdict in labelled], 0.02, 0.8)
+    assert {(tuple(r.tokens), r.verdict) for r in rules.collect()} == {
+        (tuple(sorted({classes[t] for t in c})), v) for c, v in every}
+
+
 def test_no_labels_and_no_rows(spark):
     pages = spark.createDataFrame([(1, "http://a.net/x"), (2, None)], PAGE)
     assert [r.verdict for r in url_rules.filter_urls(pages).collect()] == ["allow", "allow"]
