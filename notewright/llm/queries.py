@@ -58,11 +58,13 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str, model_file: str = MODEL_FILE) -> DataFrame:
-    """Piece counts, a digest of the ids, the n best scores, and a digest of the decoded text."""
-    encoded = sentencepiece.encode(table(spark, sf_dir, "documents"), model_file)
+    """Piece counts, digests of the ids of the n best paths, their scores, and a digest of the decoded text."""
+    others = [sentencepiece.nth_best(rank) for rank in range(2, sentencepiece.N_BEST + 1)]
+    encoded = sentencepiece.encode_n_best(table(spark, sf_dir, "documents"), model_file).select(
+        "doc_id", "ids", "n_best_scores", F.array(*map(F.xxhash64, others)).alias("others_xxhash64"))
     return sentencepiece.decode(encoded, model_file).select(
         "doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_xxhash64"),
-        "n_best_scores", F.sha2("text", 256).alias("decoded_sha256"))
+        "others_xxhash64", "n_best_scores", F.sha2("text", 256).alias("decoded_sha256"))
 
 
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

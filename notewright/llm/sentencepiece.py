@@ -18,13 +18,13 @@ from __future__ import annotations
 
 import bisect
 import heapq
-import itertools
 import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from notewright.llm.common import small_batches, text_or_empty
 
@@ -105,8 +105,8 @@ def n_best(vocabulary: Vocabulary, chunk: str, n: int) -> list[Path]:
         if begun.get(chunk[start]) is None:
             into[start + 1].append((best[start] + vocabulary.unknown, start, -1))
         best.append(max(edge[0] for edge in into[start + 1]))
-    # loss against the best score, number, ids so far from the end, place
-    queue: list[tuple[float, int, tuple, int]] = [(0.0, 0, (), size)]
+    # loss against the best score, number, edges so far from the end (each with those behind it), place
+    queue: list[tuple[float, int, tuple | None, int]] = [(0.0, 0, None, size)]
     known = [0.0]  # the n least losses queued or finished
     paths: list[Path] = []
     number = 0
@@ -122,10 +122,10 @@ def n_best(vocabulary: Vocabulary, chunk: str, n: int) -> list[Path]:
                         number += 1
                         bisect.insort(known, more)
                         del known[n:]
-                        heapq.heappush(queue, (more, number, _grown(vocabulary, tail, edge, chunk), edge[1]))
-            tail = _grown(vocabulary, tail, follow, chunk)
+                        heapq.heappush(queue, (more, number, (edge[2], edge[1], tail), edge[1]))
             place = follow[1]
-        paths.append((best[size] - loss, tail[::-1]))
+            tail = (follow[2], place, tail)
+        paths.append((best[size] - loss, _ids(vocabulary, tail, chunk)))
     return paths
 
 
@@ -174,10 +174,16 @@ def best_and_next(vocabulary: Vocabulary, chunk: str) -> tuple[list[int], float,
     return ids[::-1], best[size], loss
 
 
-def _grown(vocabulary: Vocabulary, tail: tuple, edge: tuple[float, int, int], chunk: str) -> tuple:
-    if edge[2] >= 0:
-        return (*tail, edge[2])
-    return tail + vocabulary.spell(chunk[edge[1]])[::-1]
+def _ids(vocabulary: Vocabulary, edges: tuple | None, chunk: str) -> tuple[int, ...]:
+    """The ids of linked edges (id, start, edges behind); a character without a piece is spelled."""
+    ids: list[int] = []
+    while edges:
+        i, start, edges = edges
+        if i >= 0:
+            ids.append(i)
+        else:
+            ids += vocabulary.spell(chunk[start])
+    return tuple(ids)
 
 
 class Tree:
@@ -360,16 +366,17 @@ class Encoder:
                 out[start[flat == u] + k] = i
         return out, np.bincount(owner, weights=width, minlength=len(many)).astype(np.int64)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[list[float]], list[list[dict]]]:
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[list[float]], list[list[list[dict]]]]:
         """Of texts: flat ids of the best paths, number of ids, and of the n best paths the scores
-        and what they change, as ids by chunk.
+        and how they differ from the best: ids to put in place of `gone` ids after the first `at`,
+        the last place first.
         """
         index: dict[str, int] = {}
         name = index.setdefault
         lists = [chunks_of(t) for t in texts]
         code = np.array([name(c, len(index)) for chunks in lists for c in chunks], dtype=np.int64)
         if not len(code):
-            return np.zeros(0, np.int64), np.zeros(len(texts), np.int64), [[0.0] for _ in texts], [[{}] for _ in texts]
+            return np.zeros(0, np.int64), np.zeros(len(texts), np.int64), [[0.0] for _ in texts], [[[]] for _ in texts]
         flat, many, score, loss = self._solve(list(index))
         start = np.cumsum(many) - many
         ids = _gather(flat, start[code], many[code])
@@ -378,10 +385,14 @@ class Encoder:
         counts = np.diff(total[np.concatenate(([0], ends))])
         scores, changes = [], []
         for chunks, end in zip(lists, ends.tolist(), strict=True):
-            own = code[end - len(chunks):end]
+            first = end - len(chunks)
+            own = code[first:end]
             found, changed = self._ranked(chunks, math.fsum(score[own]), loss[own])
             scores.append(found)
-            changes.append(changed)
+            changes.append([
+                [{"at": int(total[first + c] - total[first]), "gone": int(many[own[c]]), "ids": changed_ids}
+                 for c, changed_ids in sorted(path.items(), reverse=True)]
+                for path in changed])
         return ids, counts, scores, changes
 
     def _ranked(self, chunks: list[str], top: float, losses: np.ndarray) -> tuple[list[float], list[dict]]:
@@ -408,11 +419,14 @@ class Encoder:
 
     def paths(self, text: str) -> list[Path]:
         """The n best segmentations of a whole text, best first. An empty text has one, without ids."""
-        _, _, scores, changes = self.encode([text])
-        best = [best_and_next(self.vocabulary, SPACE + c)[0] for c in chunks_of(text)]
-        return [
-            (score, tuple(itertools.chain.from_iterable(changed.get(i, ids) for i, ids in enumerate(best))))
-            for score, changed in zip(scores[0], changes[0], strict=True)]
+        ids, _, scores, changes = self.encode([text])
+        found = []
+        for score, changed in zip(scores[0], changes[0], strict=True):
+            path = ids.tolist()
+            for c in changed:
+                path[c["at"]:c["at"] + c["gone"]] = c["ids"]
+            found.append((score, tuple(path)))
+        return found
 
 
 def _gather(flat: np.ndarray, start: np.ndarray, many: np.ndarray) -> np.ndarray:
@@ -432,30 +446,61 @@ def _values(model_file: str) -> tuple[dict[str, tuple[int, float]], list[int]]:
     return vocabulary.pieces, vocabulary.byte_ids
 
 
-def encode(docs: DataFrame, model_file: str, n: int = N_BEST) -> DataFrame:
-    """doc_id, ids (array<int>) and n_best_scores of every row of docs, best path first.
+CHANGES = "array<array<struct<at: int, gone: int, ids: array<int>>>>"
 
-    Null texts count as empty, and an empty text has no ids and the one score 0. Fewer scores than
-    n come where a text has no more segmentations. Other columns of docs are not read.
-    """
+
+def _encoded(docs: DataFrame, model_file: str, n: int, with_changes: bool) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(_values(model_file))  # one vocabulary, its size fixed
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Vocabulary(*shared.value), n)
+        change = pa.struct([("at", pa.int32()), ("gone", pa.int32()), ("ids", pa.list_(pa.int32()))])
         for batch in batches:
-            ids, counts, scores, _ = encoder.encode(batch.column("text").to_pylist())
+            ids, counts, scores, changes = encoder.encode(batch.column("text").to_pylist())
             offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32))),
-                 pa.array(scores, pa.list_(pa.float64()))],
-                ["doc_id", "ids", "n_best_scores"])
+            columns = {
+                "doc_id": batch.column("doc_id"),
+                "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32))),
+                "n_best_scores": pa.array(scores, pa.list_(pa.float64()))}
+            if with_changes:
+                columns["n_best_changes"] = pa.array(changes, pa.list_(pa.list_(change)))
+            yield pa.RecordBatch.from_pydict(columns)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, ids array<int>, n_best_scores array<double>"
     return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(
-        run, f"doc_id {kind}, ids array<int>, n_best_scores array<double>")
+        run, schema + (f", n_best_changes {CHANGES}" if with_changes else ""))
+
+
+def encode(docs: DataFrame, model_file: str, n: int = N_BEST) -> DataFrame:
+    """doc_id, ids (array<int>) and n_best_scores of every row of docs, best path first.
+
+    Null texts count as empty, and an empty text has no ids and the one score 0. Fewer scores than
+    n come where a text has no more segmentations. Other columns of docs are not read.
+    """
+    return _encoded(docs, model_file, n, False)
+
+
+def encode_n_best(docs: DataFrame, model_file: str, n: int = N_BEST) -> DataFrame:
+    """The columns of encode, and n_best_changes: how each of the n best paths differs from ids.
+
+    The best path changes nothing; nth_best writes a path out. Nulls, empty texts and repeats as in
+    encode. The n paths of a text differ in n - 1 chunks at most, so they take little more room than
+    the best one.
+    """
+    return _encoded(docs, model_file, n, True)
+
+
+def nth_best(rank: int) -> Column:
+    """The ids of the segmentation of that rank (1: the best), over rows of encode_n_best; null
+    where a text has fewer.
+    """
+    return F.aggregate(
+        F.get("n_best_changes", F.lit(rank - 1)), F.col("ids"),
+        lambda ids, c: F.concat(
+            F.slice(ids, F.lit(1), c["at"]), c["ids"], F.slice(ids, c["at"] + c["gone"] + 1, F.size(ids))))
 
 
 def decode(encoded: DataFrame, model_file: str) -> DataFrame:

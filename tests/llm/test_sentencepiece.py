@@ -95,6 +95,35 @@ def test_round_trip_of_odd_rows(documents, odd_rows):
     assert sp.encode(documents([]), MODEL_FILE).count() == 0
 
 
+def test_all_segmentations_come_out(documents, odd_rows, real):
+    rows = [r for r in odd_rows if r[0] != 7] + [(100 + i, " ".join(words(i, 30))) for i in range(20)]
+    encoded = sp.encode_n_best(documents(rows), MODEL_FILE)
+    found = encoded.select("doc_id", "n_best_scores", F.array(*(sp.nth_best(k) for k in (1, 2, 3))).alias("paths"))
+    encoder = sp.Encoder(real, 3)
+    wanted = []
+    for i, text in rows:
+        paths = encoder.paths(text or "")
+        wanted.append((i, [s for s, _ in paths], [list(ids) for _, ids in paths] + [None] * (3 - len(paths))))
+        assert all(sp.decode_ids(real, ids) == (text or "") for _, ids in paths)
+        assert len({ids for _, ids in paths}) == len(paths)
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(wanted, key=str)
+    assert encoded.drop("n_best_changes").columns == sp.encode(documents([]), MODEL_FILE).columns
+    assert sp.encode_n_best(documents([]), MODEL_FILE).count() == 0
+
+
+def test_long_chunks_take_time_in_proportion(real):
+    import time
+
+    text = "".join(words("one chunk", 60_000))[:160_000]
+    assert len(text) == 160_000 and " " not in text
+    began = time.process_time()
+    paths = sp.n_best(real, sp.SPACE + text, 3)
+    took = time.process_time() - began
+    assert all(sp.decode_ids(real, ids) == text for _, ids in paths)
+    assert paths[0][0] >= paths[1][0] >= paths[2][0] and len({ids for _, ids in paths}) == 3
+    assert took < 10, took
+
+
 def test_null_ids_decode_to_null(spark):
     rows = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
     assert [r.text for r in sp.decode(rows, MODEL_FILE).orderBy("doc_id").collect()] == [None, ""]
