@@ -1,10 +1,12 @@
 """Licence statements in texts: exact phrases, and a set-similarity join with templates.
 
-A line of a text contains a template when at least THRESHOLD of the template's distinct words
-are among the line's words. Words are ordered by how many documents hold them, rarest first. A
-line that contains a template must share one of the template's first words in that order (prefix
-filter), must have enough words (length filter), and must still be able to reach the needed overlap
-from the place where the two meet (positional filter). Only what passes is counted in full.
+A block is a stretch of consecutive words, wherever lines end: for a template of n words, every stretch
+of BLOCK * n words. A text contains a template when one of its blocks holds at least THRESHOLD of
+the template's distinct words. Words are ordered by how many documents hold them, rarest first. A block
+that contains a template must share one of the template's first words in that order (prefix filter).
+Around every such word, the words that any block with it can hold must be enough (length filter), and
+must still be able to reach the needed overlap from the place where the two meet (positional filter).
+Only the blocks of places that pass are counted in full.
 
 Frequencies are needed for the words of the templates alone: no other word can be shared.
 """
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 from notewright.llm.common import ascii_lower, durable, text_or_empty
 
 THRESHOLD = 0.8
+BLOCK = 2  # words of a block for each word of its template, so that other words may stand between
 MOST_TEMPLATES = 1000  # the template side is broadcast; more than this is refused
 
 # Phrases and the labels they give
@@ -81,58 +84,72 @@ def read_texts(docs: DataFrame, phrases: dict[str, str], known: list[str]) -> Da
 
 
 def template_words(spark: SparkSession, templates: dict[str, str]) -> dict[str, list[str]]:
-    """The distinct words of every template."""
+    """The words of every template, repeats included."""
     if len(templates) > MOST_TEMPLATES:
         raise ValueError(f"at most {MOST_TEMPLATES} templates, which are broadcast")
     rows = spark.createDataFrame(list(templates.items()), "label string, text string").select(
-        "label", F.array_sort(F.array_distinct(words(ascii_lower(F.col("text"))))).alias("words")).collect()
+        "label", words(ascii_lower(F.col("text"))).alias("words")).collect()
     if any(not row.words for row in rows):
-        raise ValueError("a template without words would be contained in every line")
+        raise ValueError("a template without words would be contained in every block")
     return {row.label: row.words for row in rows}
 
 
-def prefix_index(read: DataFrame, sets: dict[str, list[str]], threshold: float) -> tuple[list[str], list]:
-    """The templates' words, rarest first, and rows (word, label, place, size, need, template).
+def prefix_index(read: DataFrame, texts: dict[str, list[str]], threshold: float) -> tuple[list[str], list]:
+    """The templates' words, rarest first, and rows (word, label, place, size, need, span, template).
 
-    What comes to the driver is one document count for each template word.
+    span is the number of words of a block. What comes to the driver is one document count for each
+    template word.
     """
     found = dict(read.select(F.explode("held").alias("word")).groupBy("word").count().collect())
-    order = sorted(set().union(*sets.values()), key=lambda w: (found.get(w, 0), w))
+    order = sorted(set().union(*texts.values()), key=lambda w: (found.get(w, 0), w))
     place = {w: i for i, w in enumerate(order)}
     index = []
-    for label, held in sorted(sets.items()):
-        need = math.ceil(threshold * len(held) - 1e-9)
-        ranked = sorted(held, key=place.get)
-        index += [(w, label, i, len(held), need, ranked) for i, w in enumerate(ranked[: len(held) - need + 1])]
+    for label, text in sorted(texts.items()):
+        ranked = sorted(set(text), key=place.get)
+        need = math.ceil(threshold * len(ranked) - 1e-9)
+        index += [
+            (w, label, i, len(ranked), need, BLOCK * len(text), ranked)
+            for i, w in enumerate(ranked[: len(ranked) - need + 1])]
     return order, index
 
 
 def contained_templates(docs: DataFrame, order: list[str], index: list) -> DataFrame:
-    """doc_id, text_key, line, label, containment: every line and template at or above threshold."""
+    """doc_id, text_key, label, containment: the best block of every text and template it contains."""
     prefixes = docs.sparkSession.createDataFrame(
-        index, "word string, label string, i int, size int, need int, template array<string>")
+        index, "word string, label string, i int, size int, need int, span int, template array<string>")
     first = sorted({entry[0] for entry in index})
+    widest = max((entry[5] for entry in index), default=1)
     # bound to one variable, so that lower-casing isn't repeated for every word
     somewhere = F.exists(F.array("low"), lambda low: functools.reduce(
-        operator.or_, (F.contains(low, F.lit(w)) for w in first)))
-    lines = (
+        operator.or_, (F.contains(low, F.lit(w)) for w in first), F.lit(False)))
+    read = (
         docs.select("doc_id", ascii_lower(text_or_empty()).alias("low")).where(somewhere)
-        .select("doc_id", F.xxhash64("low").alias("text_key"),
-                F.posexplode(F.split("low", "\n")).alias("line", "low"))
-        .where(somewhere)
-        .select("doc_id", "text_key", "line",
-                F.array_intersect(F.array(*map(F.lit, order)), words(F.col("low"))).alias("held"))
+        .select("doc_id", F.xxhash64("low").alias("text_key"), words(F.col("low")).alias("words"))
     )
+    # each meeting goes on with the words around it only, not with its text
+    hits = F.transform(
+        F.filter(F.transform("words", lambda w, at: F.struct(at.alias("at"), w.alias("word"))),
+                 lambda h: h["word"].isin(first)),
+        lambda h: F.struct(
+            h["word"].alias("word"), F.least(h["at"], F.lit(widest - 1)).alias("before"),
+            F.slice("words", F.greatest(h["at"] - widest + 2, F.lit(1)), F.lit(2 * widest - 1)).alias("around")))
     met = (
-        lines.select("*", F.size("held").alias("n"), F.posexplode("held").alias("j", "word"))
+        read.select("doc_id", "text_key", F.explode(hits).alias("hit")).select("doc_id", "text_key", "hit.*")
         .join(F.broadcast(prefixes), "word")
+        .withColumn("low", F.greatest(F.col("before") - F.col("span") + 1, F.lit(0)))
+        .withColumn("held", F.array_intersect(
+            F.array(*map(F.lit, order)),
+            F.slice("around", F.col("low") + 1, F.col("before") - F.col("low") + F.col("span"))))
+        .withColumn("n", F.size("held")).withColumn("j", F.expr("array_position(held, word) - 1"))
         .where("n >= need and 1 + least(i, j) + least(size - i - 1, n - j - 1) >= need")
     )
-    overlap = F.size(F.array_intersect("held", "template"))
+    overlap = F.array_max(F.transform(
+        F.sequence("low", "before"),
+        lambda start: F.size(F.array_intersect("template", F.slice("around", start + 1, F.col("span"))))))
     return (
-        met.where(overlap >= F.col("need"))
-        .groupBy("doc_id", "text_key", "line", "label")
-        .agg(F.max(overlap / F.col("size")).alias("containment"))
+        met.withColumn("overlap", overlap).where("overlap >= need")
+        .groupBy("doc_id", "text_key", "label")
+        .agg(F.max(F.col("overlap") / F.col("size")).alias("containment"))
     )
 
 

@@ -123,7 +123,8 @@ def _licence_sql() -> str:
         + " and ".join(f"ws[i + {k + 1}] = {quoted(word)}" for k, word in enumerate(phrase.split()))
         for phrase, label in license_scan.PHRASES.items())
     templates = ", ".join(
-        f"({quoted(label)}, list_distinct({words.format('lower(' + quoted(text) + ')')}))"
+        f"({quoted(label)}, list_distinct({words.format('lower(' + quoted(text) + ')')}), "
+        f"{license_scan.BLOCK} * len({words.format('lower(' + quoted(text) + ')')}))"
         for label, text in license_scan.TEMPLATES.items())
     return rf"""
         with d as (select doc_id, {_LOW} as low from documents),
@@ -131,12 +132,11 @@ def _licence_sql() -> str:
         places as ({places}),
         base as (select doc_id, count(*) as n, min(i) as first_word, max(i) as last_word,
                         string_agg(distinct label, ',' order by label) as base_labels from places group by 1),
-        templates(label, tw) as (values {templates}),
-        lines as (select doc_id, {words.format('line')} as lw
-                  from d, unnest(string_split(low, chr(10))) as u(line)),
-        own as (select doc_id, label, max(len(list_intersect(tw, lw)) / len(tw)) as share
-                from lines, templates where len(list_intersect(tw, lw)) >= {license_scan.THRESHOLD} * len(tw) - 1e-9
-                group by 1, 2),
+        templates(label, tw, span) as (values {templates}),
+        blocks as (select doc_id, label, tw, len(list_intersect(tw, ws[i + 1:i + span])) as n
+                   from w, templates, unnest(range(len(ws))) as r(i) where list_contains(tw, ws[i + 1])),
+        own as (select doc_id, label, max(n / len(tw)) as share
+                from blocks where n >= {license_scan.THRESHOLD} * len(tw) - 1e-9 group by 1, 2),
         best as (select doc_id, max(share) as share from own group by 1),
         every as (select doc_id, string_agg(distinct label, ',' order by label) as labels
                   from (select doc_id, label from own union all select doc_id, label from places) group by 1)

@@ -89,9 +89,10 @@ def licences_by_hand(rows):
         base = sorted({label for _, label in places})
         best, own = 0.0, set()
         for label, template in license_scan.TEMPLATES.items():
-            wanted = set(WORD.findall(template.translate(LOWER)))
-            for line in low.split("\n"):
-                share = len(wanted & set(WORD.findall(line))) / len(wanted)
+            stated = WORD.findall(template.translate(LOWER))
+            wanted, span = set(stated), 2 * len(stated)
+            for k in range(len(found)):
+                share = len(wanted & set(found[k:k + span])) / len(wanted)
                 if share >= license_scan.THRESHOLD:
                     own.add(label)
                     best = max(best, share)
@@ -102,7 +103,7 @@ def licences_by_hand(rows):
     return sorted(out, key=str)
 
 
-def test_licences_against_every_line_and_template(documents, odd_rows):
+def test_licences_against_every_block_and_template(documents, odd_rows):
     rows = odd_rows + [
         (30, "Text.\nLicensed under CC BY-NC 4.0.\nMore"), (31, "released UNDER the mit LICENSE"),
         (32, "All\nrights\nreserved, all rights reserved"), (33, "Licensed under the\nApache License, Version 2.0"),
@@ -111,6 +112,9 @@ def test_licences_against_every_line_and_template(documents, odd_rows):
         (38, "This work is licensed under the GNU General Public License, version 3 and the MIT License, released"),
         (39, "cc0 x the of author has waived all copyright to possible under law extent"),
         (None, "Released under the MIT License."), (40, "ccbycc by"),
+        (41, "Redistribution and use in source and binary\nforms, with or without\n * modification, are permitted"),
+        (42, "released " + "far " * 9 + "under the MIT license"), (43, "far " * 30 + "Released\n\nunder the\nMIT\nLicense"),
+        (44, "Released under the MIT License. " * 400), (45, "the under license mit " + "the " * 3000),
     ]
     docs = documents(rows).withColumn("low", F.lit("cc by")).withColumn("label", F.lit("x")).withColumn("words", F.lit(1))
     found = license_scan.scan_licences(docs)
@@ -118,6 +122,23 @@ def test_licences_against_every_line_and_template(documents, odd_rows):
     assert license_scan.scan_licences(documents([])).count() == 0
 
 
+def test_wrapped_notices_are_found(documents):
+    rows = [
+        (1, "Licensed under the\nApache License,\nVersion 2.0"),
+        (2, "Redistribution and use in source and binary forms, with or without\nmodification, are permitted"),
+        (3, "This work is\nlicensed under a Creative\nCommons Attribution 4.0\nLicense"), (4, "Licensed under the\nsun"),
+    ]
+    found = license_scan.scan_licences(documents(rows)).orderBy("doc_id").collect()
+    assert [(r.labels, r.score) for r in found] == [("apache-2.0", 1.0), ("bsd", 1.0), ("cc-by-4.0", 1.0), ("", 0.0)]
+
+
+def test_repeated_words_of_a_template_have_room(documents):
+    found = license_scan.scan_licences(
+        documents([(1, "free free free as beer"), (2, "free as beer")]), {"x y": "xy"},
+        {"f": "free free free as beer"}, threshold=1.0).orderBy("doc_id").collect()
+    assert [r.labels for r in found] == ["f", "f"]
+
+
 def test_own_phrases_and_templates(documents):
     rows = [(1, "free as in beer"), (2, "beer in the free world")]
     found = license_scan.scan_licences(
