@@ -1,17 +1,21 @@
-"""Repeated runs of lines across and within texts, by winnowing.
+"""Repeated runs of lines across and within texts, by winnowing over line hashes.
 
 From every line two windows are taken: the shortest stretch from it onwards that holds MIN_WORDS
-words, and the shortest stretch up to it that does. A window's fingerprint is the smallest line hash
-in it, together with a hash of the whole window, so that a line common to many texts makes no match
-by itself. Any run of MIN_WORDS words or more that stands in two places contains a whole window,
-hence a common fingerprint: the guarantee of winnowing.
-
-Every occurrence of a fingerprint is joined with the first one, in order of document and line, not
-with all others. A match extends to the right through the windows onwards and to the left through
-the windows backwards: each line of a repeated run of MIN_WORDS words lies in one of either kind
-inside the run, so the union of matched windows is the whole run and nothing but runs. Their lines
-are deleted where they come later. A line goes only in favour of an equal earlier one, so the first
-occurrence of every line stays.
+words, and the shortest stretch up to it that does. Of each window the first line with the smallest
+hash is selected; the selected lines, fewer than the lines, are the fingerprints of a text. Any run
+of MIN_WORDS words or more that stands in two places contains a whole window, and the same line of
+it is selected in both: the guarantee of winnowing.
+
+Positions are joined by their fingerprint. A line selected in one place only matches nothing, and
+its text costs no more than that. From each position that meets others a match is extended both
+ways, by the windows that selected it: a window is a match where it equals, line by line, the one
+around an earlier position, and its first occurrence stands for all earlier ones. So a line that
+thousands of texts share makes no match by itself, and no pairs of a frequent line are listed.
+Matches that go on from one another in both texts are then one run, as long as the texts agree.
+
+Every line of a repeated run of MIN_WORDS words lies in a window of either kind inside the run, so
+the matches cover whole runs and nothing but runs. Their lines are deleted where they come later. A
+line goes only in favour of an equal earlier one, so the first occurrence of every line stays.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from notewright.llm.common import durable, small_batches, text_or_empty, unused
@@ -33,10 +37,11 @@ def _lines(text: bytes) -> list[list[bytes]]:
     return [line.split() for line in text.split(b"\n")]
 
 
-def windows_of(text: bytes, min_words: int) -> list[tuple[int, int, int, int]]:
-    """The windows of a text: first line, last line, smallest line hash, hash of the content.
+def windows_of(text: bytes, min_words: int) -> list[tuple[int, int, int, int, int]]:
+    """The windows of a text: position and hash of the selected line, first line, last line, content hash.
 
-    Lines that hold no words are not counted. A window that is both kinds comes once.
+    Sorted by position. Lines that hold no words are not counted. A window that is both kinds comes
+    once.
     """
     lines = [tokens for tokens in _lines(text) if tokens]
     if not lines:
@@ -49,47 +54,82 @@ def windows_of(text: bytes, min_words: int) -> list[tuple[int, int, int, int]]:
     backward = np.searchsorted(sums, sums[1:] - min_words, side="right") - 1
     spans = {(i, e) for i, e in enumerate(onward.tolist()) if e <= n}
     spans |= {(i, e + 1) for e, i in enumerate(backward.tolist()) if i >= 0}
-    return [
-        (i, e - 1, int(signed[i:e].min()), xxhash.xxh64_intdigest(content[8 * i:8 * e], 1) - (1 << 63))
-        for i, e in sorted(spans)]
+    found = []
+    for i, e in spans:
+        at = i + int(signed[i:e].argmin())  # the first of equal ones
+        found.append((at, int(signed[at]), i, e - 1, xxhash.xxh64_intdigest(content[8 * i:8 * e], 1) - (1 << 63)))
+    return sorted(found)
 
 
 def _doc() -> Column:
     return F.struct("doc_id", F.xxhash64(text_or_empty()).alias("text_key"))
 
 
-def windows(docs: DataFrame, min_words: int) -> DataFrame:
-    """doc (struct of doc_id and a key of the text), start, end, smallest, whole: see windows_of."""
+def fingerprints(docs: DataFrame, min_words: int) -> DataFrame:
+    """One row for each selected line: doc (struct of doc_id and a key of the text), position, line (its hash).
+
+    starts, ends and contents are arrays that list the windows which selected it, as windows_of does.
+    """
+    names = ["doc", "position", "line", "starts", "ends", "contents"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [windows_of(t, min_words) for t in batch.column("text").to_pylist()]
-            rows = np.array([w for f in found for w in f], dtype=np.int64).reshape(-1, 4)
+            position, line, start, end, content = np.array(
+                [w for f in found for w in f], dtype=np.int64).reshape(-1, 5).T
             owner = np.repeat(np.arange(len(found)), [len(f) for f in found])
+            new = np.ones(len(owner), dtype=bool)
+            new[1:] = (owner[1:] != owner[:-1]) | (position[1:] != position[:-1])
+            first = np.flatnonzero(new)
+            offsets = pa.array(np.append(first, len(owner)), pa.int32())
+            lists = [
+                pa.ListArray.from_arrays(offsets, pa.array(values, kind))
+                for values, kind in ((start, pa.int32()), (end, pa.int32()), (content, pa.int64()))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc").take(pa.array(owner)), *map(pa.array, rows.T)],
-                ["doc", "start", "end", "smallest", "whole"])
+                [batch.column("doc").take(pa.array(owner[first])), pa.array(position[first], pa.int32()),
+                 pa.array(line[first]), *lists], names)
 
     small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select(_doc().alias("doc"), text_or_empty().cast("binary").alias("text")).mapInArrow(
-        run, f"doc struct<doc_id: {kind}, text_key: bigint>, start long, end long, smallest long, "
-             "whole long")
+        run, f"doc struct<doc_id: {kind}, text_key: bigint>, position int, line long, starts array<int>, "
+             "ends array<int>, contents array<bigint>")
 
 
-def repeated_windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def matches(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc, start, end, source, source_start): later windows and the earlier place they repeat.
 
     start and end count the lines that hold words, from 0, both included.
     """
-    posted = durable(windows(docs, min_words))
+    selected = durable(fingerprints(docs, min_words))
+    shared = selected.groupBy("line").agg(F.count("*").alias("n")).where("n > 1").select("line")
+    around = durable(
+        selected.join(shared, "line", "left_semi")
+        .select("doc", "line", F.explode(F.arrays_zip("starts", "ends", "contents")).alias("window"))
+        .select("doc", "line", F.col("window.starts").alias("start"), F.col("window.ends").alias("end"),
+                F.col("window.contents").alias("content")))
     first = (
-        posted.groupBy("smallest", "whole")
+        around.groupBy("line", "content")
         .agg(F.min(F.struct("doc", "start")).alias("first"), F.count("*").alias("n"))
         .where("n > 1").drop("n"))
-    return posted.join(first, ["smallest", "whole"]).where(F.struct("doc", "start") != F.col("first")).select(
-        "doc", "start", "end", F.col("first.doc").alias("source"),
-        F.col("first.start").alias("source_start"))
+    return around.join(first, ["line", "content"]).where(F.struct("doc", "start") != F.col("first")).select(
+        "doc", "start", "end", F.col("first.doc").alias("source"), F.col("first.start").alias("source_start"))
+
+
+def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc, source, start, end, source_start): matches that go on from one another, as one run each.
+
+    The lines start to end of doc equal those of source from source_start on. Runs of one document
+    may overlap where their sources differ.
+    """
+    along = Window.partitionBy("doc", "source", "shift").orderBy("start", "end")
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    apart = F.coalesce(F.col("start") > F.max("end").over(before) + 1, F.lit(True))
+    return (
+        matches(docs, min_words).withColumn("shift", F.col("source_start") - F.col("start"))
+        .withColumn("apart", apart).withColumn("run", F.sum(F.col("apart").cast("int")).over(along))
+        .groupBy("doc", "source", "shift", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+        .select("doc", "source", "start", "end", (F.col("start") + F.col("shift")).alias("source_start")))
 
 
 def _without(text: bytes, runs: list[dict]) -> tuple[bytes, int, int, int]:
@@ -127,8 +167,8 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
     """
     added = ["n_lines", "n_removed", "words_removed"]
     docs = docs.drop(*added)
-    # at most two windows for each line of the text
-    runs = repeated_windows(docs, min_words).groupBy("doc").agg(
+    # at most two matches for each line of the text
+    runs = repeated_runs(docs, min_words).groupBy("doc").agg(
         F.collect_set(F.struct("start", "end")).alias("runs"))
     names = docs.columns
     key, whole, cut = (unused(docs, n) for n in ("doc", "bytes", "runs"))

@@ -1,5 +1,6 @@
 import re
 
+import xxhash
 from conftest_llm import passage, sentence, words
 from pyspark.sql import functions as F
 
@@ -68,10 +69,47 @@ def test_odd_rows_keep_their_number_and_columns(documents, odd_rows):
 def test_windows_hold_the_least_number_of_words():
     text = "\n".join(sentence(i, n) for i, n in enumerate([10, 45, 3, 3, 60, 20, 20, 20])).encode()
     size = [10, 45, 3, 3, 60, 20, 20, 20]
-    found = {(start, end) for start, end, _, _ in line_dedup.windows_of(text, 50)}
+    windows = line_dedup.windows_of(text, 50)
+    found = {(start, end) for _, _, start, end, _ in windows}
     onward = {(i, next((e for e in range(i, 8) if sum(size[i:e + 1]) >= 50), None)) for i in range(8)}
     backward = {(next((i for i in range(e, -1, -1) if sum(size[i:e + 1]) >= 50), None), e) for e in range(8)}
     assert found == {(i, e) for i, e in onward | backward if i is not None and e is not None}
+    line = [xxhash.xxh64_intdigest(x) for x in text.split(b"\n")]
+    signed = [x - (1 << 64) if x >> 63 else x for x in line]
+    for position, value, start, end, _ in windows:
+        assert value == min(signed[start:end + 1]) == signed[position] and value not in signed[start:position]
+
+
+def test_fingerprints_are_fewer_than_lines_and_shared_by_repeated_runs(documents):
+    run = [sentence(f"r{i}", 10) for i in range(40)]
+    texts = [[sentence(f"{t}/{i}", 10) for i in range(200)] for t in range(4)]
+    texts[1][50:90], texts[3][7:47] = run, run
+    docs = documents([(i, "\n".join(t)) for i, t in enumerate(texts)])
+    selected = [(r.doc.doc_id, r.position) for r in line_dedup.fingerprints(docs, 50).collect()]
+    assert len(selected) == len(set(selected))
+    # windows of 5 lines select about 2 of 6 lines, windows that end short of 50 words a few more
+    assert 800 / 5 <= len(selected) < 800 / 2
+    inside = lambda doc, at: {p - at for d, p in selected if d == doc and at + 4 <= p < at + 36}
+    assert inside(1, 50) == inside(3, 7) != set()
+
+
+def test_matches_extend_to_whole_runs(documents):
+    run = [sentence(f"r{i}", 10) for i in range(30)]
+    texts = [[sentence(f"{t}/{i}", 10) for i in range(60)] for t in range(3)]
+    texts[0][10:40], texts[2][5:35] = run, run
+    texts[1][0:8] = run[:8]  # a shorter one between
+    texts[2][40:46] = run[24:]
+    found = line_dedup.repeated_runs(documents([(i, "\n".join(t)) for i, t in enumerate(texts)])).collect()
+    assert sorted((r.doc.doc_id, r.source.doc_id, r.start, r.end, r.source_start) for r in found) == [
+        (1, 0, 0, 7, 10), (2, 0, 5, 34, 10), (2, 0, 40, 45, 34)]
+
+
+def test_lines_selected_once_list_no_windows(documents):
+    rows = [(i, "\n".join([sentence(f"{i}/{k}", 20) for k in range(30)])) for i in range(30)]
+    assert line_dedup.matches(documents(rows)).count() == 0
+    often = "The same short line."
+    rows = [(i, "\n".join(x for k in range(20) for x in (often, sentence(f"{i}/{k}", 20)))) for i in range(30)]
+    assert line_dedup.matches(documents(rows)).count() == 0
 
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
