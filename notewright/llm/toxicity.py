@@ -4,7 +4,10 @@ The kernel of two words counts the subsequences of three characters that they sh
 each weighted by DECAY for every character it spans, and is normalised. An insult with characters
 inserted, dropped or between separators, or with an unseen ending, still shares most of them.
 
-Words of labelled sentences give Nystrom landmarks; on them the kernel has an explicit feature map,
+A word may also be cut by white space: neighbouring tokens of a sentence that are short are joined in
+every way as well, so 'gr um bo ld' holds the word it spells among its units.
+
+Units of labelled sentences, words and joined ones, give Nystrom landmarks; on them the kernel has an explicit feature map,
 in which a linear support vector machine is trained. A toxic document only says that some word in
 it is to blame, so training alternates: take each toxic document's highest word as its witness, then
 fit witnesses against the words of clean sentences, the highest ones among them. A document is
@@ -41,10 +44,13 @@ ROUNDS = 4
 DOUBT = 5.0  # weight of a witness's use in clean documents
 NOTHING = -2.0  # decision where there is no word
 LEVELS = (-0.5, -0.25, 0.0, 0.25, 0.5, 0.75, 1.0)
+SHORT = 3  # characters of tokens that are joined with their neighbours
+JOINED = (4, 16)  # letters and digits of what they join to, least and most
 _WINDOW = 32  # longer words are met in overlapping pieces
 _REMEMBERED = 400_000
 
 _SPELLED = re.compile(r"(?:(?<=\s)|^)\S(?:\s+\S){3,}(?=\s|$)")
+_SHORT_RUN = re.compile(rf"(?<!\S)\S{{1,{SHORT}}}(?:(?<![.!?])[^\S\n]+\S{{1,{SHORT}}})+(?!\S)")
 _SENTENCE_END = re.compile(r"(?<=[.!?])\s+|\n")
 
 
@@ -64,6 +70,22 @@ def spelled_out(text: str) -> list[str]:
     return [w for m in _SPELLED.findall(text) if (w := "".join(filter(str.isalnum, m)))]
 
 
+def joined(text: str) -> set[str]:
+    """What neighbouring short tokens of one sentence join to: 'a gr um bo' gives 'agrum', 'grum', 'grumbo', ..."""
+    least, most = JOINED
+    found = set()
+    for run in _SHORT_RUN.findall(text):
+        parts = [w for t in run.split() if (w := "".join(filter(str.isalnum, t)))]
+        for i, word in enumerate(parts):
+            for part in parts[i + 1:]:
+                word += part
+                if len(word) > most:
+                    break
+                if len(word) >= least:
+                    found.add(word)
+    return found
+
+
 def _codes(words: list[str]) -> np.ndarray:
     """Symbols of words of one length, with a start mark: 0 start, a-z, one for digits, then others."""
     points = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").reshape(len(words), -1)
@@ -345,7 +367,7 @@ def _witnesses(decision: np.ndarray, doc: np.ndarray, word: np.ndarray, toxic: n
 
 def training_sentences(docs: DataFrame, labels: DataFrame, keep: Column,
                        per_class: int = FIT_DOCUMENTS) -> list[tuple[int, int, list[str]]]:
-    """(document, label, distinct words of its sentences) of a bounded sample: per_class documents of
+    """(document, label, distinct units of its sentences) of a bounded sample: per_class documents of
     each class, none over FIT_CHARACTERS.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,7 +377,7 @@ def training_sentences(docs: DataFrame, labels: DataFrame, keep: Column,
                                         strict=True):
                 found: set[str] = set()
                 for sentence in _SENTENCE_END.split(text.lower()):
-                    found.update(units(sentence.split()).values(), spelled_out(sentence))
+                    found.update(units(sentence.split()).values(), spelled_out(sentence), joined(sentence))
                 rows.append((doc, label, sorted(found)))
             yield pa.RecordBatch.from_pylist(
                 [dict(zip(("doc", "label", "words"), r, strict=True)) for r in rows],
@@ -384,9 +406,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 seen.clear()
             tokens = []
             for text in batch.column("text").to_pylist():
-                found = set(text.lower().split())
+                low = text.lower()
+                found = set(low.split())
                 if sum(len(t) == 1 for t in found) > 1:
-                    found |= set(spelled_out(text.lower()))
+                    found |= set(spelled_out(low))
+                found |= joined(low)
                 tokens.append(found)
             new = set().union(*tokens).difference(seen)
             words = units(new)

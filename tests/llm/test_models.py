@@ -84,6 +84,24 @@ def test_toxicity_finds_held_out_insults(documents, labels):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in found.values())
 
 
+def test_short_neighbours_are_joined_within_a_sentence():
+    assert toxicity.joined("so gr um bo ld here") == {
+        "sogr", "sogrum", "sogrumbo", "sogrumbold", "grum", "grumbo", "grumbold", "umbo", "umbold", "bold"}
+    assert toxicity.joined("you gr- *** um. bo\nld longer words abc") == {"yougr", "yougrum", "grum"}
+    assert toxicity.joined("a b") == toxicity.joined("") == toxicity.joined("word " * 5) == set()
+    assert all(4 <= len(w) <= 16 for w in toxicity.joined("ab " * 10_000)) and toxicity.joined("ab " * 10_000)
+
+
+def test_insults_cut_by_white_space_are_found(documents, labels):
+    rows, _ = labelled()
+    cut = ["gr um bo ld", "gru mbo ld", "sna zze r", "g r um bol d"]
+    plain = ["in the of", "la de der", "so we go on", "it is an"]
+    new = [(5000 + i, f"{sentence(f'n{i}')}\n{c}. {sentence(f'm{i}')}") for i, c in enumerate(cut + plain)]
+    scores = {r.doc_id: r.score for r in toxicity.toxicity(documents(rows + new), labels, F.lit(True)).collect()}
+    bad, good = [scores[5000 + i] for i in range(4)], [scores[5004 + i] for i in range(4)]
+    assert min(bad) > max(good) and max(good) < 0.5 and min(bad) >= 0.5
+
+
 def test_quality_finds_held_out_junk(documents, labels):
     docs = documents(labelled()[0]).withColumn("features", F.lit(1))
     found = {r.doc_id: r for r in quality.quality(docs, labels, fold("doc_id", 3) != 1).collect()}
