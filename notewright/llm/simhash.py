@@ -108,10 +108,11 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def _linked(prints: np.ndarray, a: np.ndarray, b: np.ndarray, bits: int) -> np.ndarray:
-    """Which pairs reach the guaranteed tally of equal bytes and differ in few enough bits."""
+    """Which pairs are linked: those short of the guaranteed tally of equal bytes go, the rest is verified."""
     differing = prints[a] ^ prints[b]
-    tally = (differing.view(np.uint8).reshape(-1, BYTES) == 0).sum(axis=1)
-    return (tally >= BYTES - bits) & (np.bitwise_count(differing) <= bits)
+    kept = np.count_nonzero(differing.view(np.uint8).reshape(-1, BYTES) == 0, axis=1) >= BYTES - bits
+    kept[kept] = np.bitwise_count(differing[kept]) <= bits
+    return kept
 
 
 def _links(bits: int):
