@@ -53,3 +53,14 @@ def test_no_notes_and_no_terms(spark, notes):
     none = spark.createDataFrame([], "note_id string, text string")
     assert term_index.term_hits(none, spark.createDataFrame([("abc",)], TERM)).count() == 0
     assert term_index.terms_of_notes(notes("abc"), spark.createDataFrame([], TERM)).first()["terms"] == []
+
+
+def test_texts_are_taken_apart_once(spark, notes):
+    """What is left to do when hits are read: joins on written runs; no text is taken apart or goes by characters."""
+    draw = random.Random(7)
+    texts = notes(*[made(draw, 300) for _ in range(20)])
+    terms = [made(draw, n) for n in (1, 3, 4, 5, 9) for _ in range(3)] + ["ABC", "é 漢a"]
+    found = term_index.term_hits(texts, spark.createDataFrame([(t,) for t in terms], TERM))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "lambda" not in plan
+    assert sorted(map(tuple, found.collect())) == by_hand([tuple(r) for r in texts.collect()], terms)
