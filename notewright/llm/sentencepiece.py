@@ -6,9 +6,9 @@ a path built from the end backwards, so A-star search with it as heuristic takes
 queue in the order of their full scores: the first N complete ones are the N best.
 
 No piece holds the space mark after another character, so no edge crosses the place before a space
-mark, and the lattice falls apart into chunks there. Distinct chunks are solved once in a batch;
-the N best of a text are found by the same search over its chunks, of which only the N - 1 with the
-cheapest second choices can differ from the best path.
+mark, and the lattice falls apart into chunks there. Distinct chunks are solved once in a task,
+as long as it remembers them; the N best of a text are found by the same search over its chunks, of
+which only the N - 1 with the cheapest second choices can differ from the best path.
 
 Characters without a piece are spelled as byte pieces, and so is a space mark that a text itself
 holds: decoding always gives the text back.
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import bisect
 import heapq
+import itertools
 import math
 from collections.abc import Iterable, Iterator
 
@@ -32,6 +33,8 @@ SPACE = "▁"
 _OWN_MARK = "\udc81"  # stands for a space mark that the text itself holds; no text can hold this
 N_BEST = 3
 UNKNOWN_PENALTY = 10.0  # below the least score of a piece, as the library does it
+MOST_CHUNKS = 1 << 18  # solutions that a task remembers
+MOST_VALUES = 1 << 22
 WIDTHS = (4, 7, 10, 14, 20, 32, 64)  # chunks are solved together up to these lengths
 
 Path = tuple[float, tuple[int, ...]]
@@ -314,11 +317,37 @@ def chunks_of(text: str) -> list[str]:
     return chunks
 
 
+class _Codes(dict):
+    """Numbers its keys in the order in which they are first asked for."""
+
+    def __missing__(self, key: str) -> int:
+        code = self[key] = len(self)
+        return code
+
+
 class Encoder:
-    """Encodes texts, many at a time; every distinct chunk of them is solved once."""
+    """Encodes texts, many at a time; every distinct chunk is solved once, and remembered.
+
+    What is remembered is dropped after a call that leaves more than MOST_CHUNKS chunks or MOST_VALUES
+    ids or characters; a chunk's solution does not depend on the chunks that are solved with it.
+    """
 
     def __init__(self, vocabulary: Vocabulary, n: int = N_BEST):
         self.vocabulary, self.n, self.tree = vocabulary, n, vocabulary.tree()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.index = _Codes()
+        self.solved = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
+        self.ranked: dict[str, list[Path]] = {}
+        self.characters = 0
+
+    def _known(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """What _solve gives for all remembered chunks and these, which are new."""
+        if chunks:
+            self.solved = tuple(map(np.concatenate, zip(self.solved, self._solve(chunks), strict=True)))
+            self.characters += sum(map(len, chunks))
+        return self.solved
 
     def _solve(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Flat best ids, number of ids, best score, loss of the second choice, of all chunks."""
@@ -371,13 +400,14 @@ class Encoder:
         and how they differ from the best: ids to put in place of `gone` ids after the first `at`,
         the last place first.
         """
-        index: dict[str, int] = {}
-        name = index.setdefault
+        if len(self.index) > MOST_CHUNKS or max(self.characters, len(self.solved[0])) > MOST_VALUES:
+            self._forget()
+        index, before = self.index, len(self.index)
         lists = [chunks_of(t) for t in texts]
-        code = np.array([name(c, len(index)) for chunks in lists for c in chunks], dtype=np.int64)
+        code = np.fromiter(map(index.__getitem__, itertools.chain.from_iterable(lists)), dtype=np.int64)
         if not len(code):
             return np.zeros(0, np.int64), np.zeros(len(texts), np.int64), [[0.0] for _ in texts], [[[]] for _ in texts]
-        flat, many, score, loss = self._solve(list(index))
+        flat, many, score, loss = self._known(list(itertools.islice(index, before, None)))
         start = np.cumsum(many) - many
         ids = _gather(flat, start[code], many[code])
         ends = np.cumsum([len(c) for c in lists])
@@ -404,7 +434,10 @@ class Encoder:
             losses = np.where(losses <= np.partition(losses, self.n - 1)[self.n - 1], losses, np.inf)
         free = np.flatnonzero(losses < np.inf)
         free = sorted(free[np.argsort(losses[free], kind="stable")[: self.n - 1]].tolist())
-        paths = [n_best(self.vocabulary, SPACE + chunks[i], self.n) for i in free]
+        for i in free:
+            if chunks[i] not in self.ranked:
+                self.ranked[chunks[i]] = n_best(self.vocabulary, SPACE + chunks[i], self.n)
+        paths = [self.ranked[chunks[i]] for i in free]
         queue, found, changes = [(0.0, (), 0)], [], []
         while queue and len(found) < self.n:
             loss, chosen, place = heapq.heappop(queue)

@@ -127,3 +127,25 @@ def test_long_chunks_take_time_in_proportion(real):
 def test_null_ids_decode_to_null(spark):
     rows = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
     assert [r.text for r in sp.decode(rows, MODEL_FILE).orderBy("doc_id").collect()] == [None, ""]
+
+
+def test_chunks_are_solved_once_in_a_task(real, monkeypatch):
+    """Chunks met in an earlier batch are not solved again, and forgetting them changes nothing."""
+    batches = [["low lower lowest", "new lower"], ["lowest new", "", "a lower low"], ["low", "newer é new"]]
+    solved = []
+    solve = sp.Encoder._solve
+    monkeypatch.setattr(sp.Encoder, "_solve", lambda self, chunks: solved.extend(chunks) or solve(self, chunks))
+
+    def encoded(encoder, texts):
+        ids, counts, scores, changes = encoder.encode(texts)
+        return ids.tolist(), counts.tolist(), scores, changes
+
+    fresh = [encoded(sp.Encoder(real), texts) for texts in batches]
+    solved.clear()
+    kept = sp.Encoder(real)
+    assert [encoded(kept, texts) for texts in batches] == fresh
+    assert sorted(solved) == sorted({c for texts in batches for t in texts for c in sp.chunks_of(t)})
+    monkeypatch.setattr(sp, "MOST_CHUNKS", 3)
+    forgetful = sp.Encoder(real)
+    assert [encoded(forgetful, texts) for texts in batches] == fresh
+    assert len(forgetful.index) < len(kept.index)
