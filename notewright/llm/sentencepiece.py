@@ -547,7 +547,7 @@ def decode(encoded: DataFrame, model_file: str) -> DataFrame:
         pieces = Vocabulary(*shared.value).text_of
         for batch in batches:
             lists = batch.column("ids")
-            flat = lists.flatten().tolist()
+            flat = lists.flatten().to_numpy(zero_copy_only=False).tolist()  # no Arrow scalar for each id
             ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).tolist()
             texts = [
                 b"".join(map(pieces.__getitem__, flat[start:end]))[1:] if known else None
